@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 def demands(sized: DataFrame, targets: DataFrame, total: int | None = None) -> DataFrame:
     """(source, target_share, max_repeats, have, want, tilt): one row per target.
 
-    have: tokens of the source's documents. Without ``total`` the mixture is the largest in
-    which every source that has tokens keeps its share within its repeats; with it, sources
-    that run out hand their shortfall to the others in proportion (water filling). Shares
-    of sources without tokens are spread over the rest. tilt in [-1, 1]: scarce sources
+    have: tokens of the source's documents. ``total``: tokens of the mixture, by default
+    those of all documents. Sources that run out within their repeats hand their shortfall
+    to the others in proportion (water filling); so do sources without tokens. Total 0 asks
+    for the largest mixture in which every source with tokens keeps its share exactly. tilt in [-1, 1]: scarce sources
     (more repeats needed) come later; tilts balance, so the weights sum to 1 at any time.
     """
     have = sized.groupBy("source").agg(F.sum("tokens").alias("have"))
+    if total is None:
+        total = sized.agg(F.sum("tokens")).first()[0] or 0
     rows = (
         targets.where("source IS NOT NULL")
         .groupBy("source")
@@ -40,7 +42,7 @@ def demands(sized: DataFrame, targets: DataFrame, total: int | None = None) -> D
     if live.any():
         share = rows["target_share"].where(live, 0.0)
         share = share / share.sum()
-        size = float((cap[live] / share[live]).min()) if total is None else float(min(total, cap[live].sum()))
+        size = float(min(total, cap[live].sum())) if total else float((cap[live] / share[live]).min())
         open_, want = live.copy(), rows["want"].copy()
         while open_.any():
             give = (size - want[~open_].sum()) * share.where(open_, 0.0) / share[open_].sum()
@@ -75,8 +77,9 @@ def mixture(sized: DataFrame, targets: DataFrame, total: int | None = None, buck
     inner = Window.partitionBy("source", "b").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("cum", F.sum("tokens").over(inner)).join(F.broadcast(before.select("source", "b", F.coalesce("base", F.lit(0)).alias("base"))), ["source", "b"])
     d = d.withColumn("end", F.col("base") + F.col("cum"))
-    # Use r of a document ends at end + (r - 1) * have tokens of its source; it is taken while within the demand.
-    last = F.floor((F.col("want") + 1e-6 - F.col("end")) / F.col("have")) + 1
+    # Use r of a document has its middle at end - tokens / 2 + (r - 1) * have tokens of its
+    # source; it is taken while that is within the demand, so shares round to the nearest document.
+    last = F.floor((F.col("want") + 1e-6 - F.col("end") + F.col("tokens") / 2) / F.col("have")) + 1
     d = d.withColumn("uses", F.least(F.col("max_repeats"), last).cast("int")).where("uses >= 1").withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses"))))
     u = (F.col("end") - F.col("tokens") / 2 + (F.col("use") - 1) * F.col("have")) / F.col("want")
     # Weight share * (1 + tilt * (2t - 1)): cumulative share t + tilt * (t^2 - t); solve for t.

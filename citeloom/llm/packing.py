@@ -23,24 +23,27 @@ def differencing(sizes: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
     if k == 1 or n <= k:
         where = np.arange(n) % k
         return where, np.bincount(where, sizes, k).astype(np.int64)
-    sums: list[np.ndarray] = []
-    heap = []
-    for i, s in enumerate(sizes):
-        v = np.zeros(k, np.int64)
-        v[0] = s
-        sums.append(v)
-        heap.append((-s, i))
+    sums: list = list(sizes)  # an item alone stays a number until it is combined
+    heap = [(-s, i) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
+
+    def parts(c: int) -> np.ndarray:
+        if c >= n:
+            return sums[c]
+        v = np.zeros(k, np.int64)
+        v[0] = sums[c]
+        return v
+
     tree: dict[int, tuple[int, int, np.ndarray]] = {}
     while len(heap) > 1:
         _, a = heapq.heappop(heap)
         _, b = heapq.heappop(heap)
-        v = sums[a] + sums[b][::-1]  # both fall, so the largest meets the smallest
+        v = parts(a) + parts(b)[::-1]  # both fall, so the largest meets the smallest
         order = np.argsort(-v, kind="stable")
         v = v[order]
         c = len(sums)
         sums.append(v)
-        sums[a] = sums[b] = None  # type: ignore[call-overload]
+        sums[a] = sums[b] = None
         tree[c] = (a, b, order)
         heapq.heappush(heap, (int(v[-1] - v[0]), c))
     root = heap[0][1]
@@ -69,7 +72,7 @@ def fill(sizes: list[int], capacity: int) -> np.ndarray:
         k += 1
 
 
-def pack(sized: DataFrame, sizes: DataFrame, id_col: str = "doc_id", window: int = 48) -> DataFrame:
+def pack(sized: DataFrame, sizes: DataFrame, id_col: str = "doc_id", window: int = 256) -> DataFrame:
     """(pack_id, container_id, doc_id, piece, first_token, tokens) for every capacity.
 
     sized: one row per document with its tokens; sizes: pack_id and capacity_tokens, a small

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, one_delivery, table
-from . import lookalike, mixing, neardup, packing, scans, sitelines, subjects, tokens
+from . import linkage, lookalike, mixing, names, neardup, packing, scans, sitelines, subjects, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,15 @@ def p3_titles(spark: SparkSession, d: str) -> DataFrame:
     return arts.select("article_id", "title", form.column(F.col("title")).alias("consistent_title"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = names.same_entity_pairs(names.entities(table(spark, d, "contributors")))
+    return pairs.toDF("contributor_id_a", "contributor_id_b")
+
+
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    return names.entities(table(spark, d, "contributors")).toDF("contributor_id", "entity")
+
+
 def _scan_vocabulary(spark: SparkSession, d: str) -> scans.Vocabulary:
     return scans.vocabulary([(table(spark, d, "documents"), "text"), (table(spark, d, "pdf_sections"), "sections")])
 
@@ -69,6 +78,27 @@ def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
     return scans.repair(table(spark, d, "documents"), "doc_id", "text", _scan_vocabulary(spark, d)).select(F.col("record_id").alias("doc_id"), "text", "changed")
 
 
+def _matches(spark: SparkSession, d: str) -> DataFrame:
+    pubs = table(spark, d, "publications")
+    arts = table(spark, d, "articles").select("article_id", "title", "authors", "pub_year", "loaded_at")
+    refs = table(spark, d, "structured_refs").select("reference_id", "title", "authors", "pub_year", "journal", "volume", "pagination", "loaded_at")
+    form = lookalike.fit((pubs, "title"), (arts, "title"), (refs, "title"))
+    index = linkage.Publications(pubs, form)
+    none = F.lit(None).cast("string")
+    refs = one_delivery(refs, "reference_id", "loaded_at").select(F.col("reference_id").alias("id"), "title", "authors", F.col("pub_year").alias("year"), "journal", F.col("volume").alias("vol"), F.col("pagination").alias("page"))
+    arts = one_delivery(arts, "article_id", "loaded_at").select(F.col("article_id").alias("id"), "title", "authors", F.col("pub_year").alias("year"), none.alias("journal"), none.alias("vol"), none.alias("page"))
+    a = index.match(arts).withColumn("table_name", F.lit("articles"))
+    return index.match(refs).withColumn("table_name", F.lit("structured_refs")).unionByName(a)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _matches(spark, d).select("table_name", "uber_id", F.col("rid").alias("record_id"))
+
+
+def p6_matches(spark: SparkSession, d: str) -> DataFrame:
+    return _matches(spark, d).select("table_name", "uber_id", F.col("rid").alias("record_id"), "confidence")
+
+
 def _site_lines(spark: SparkSession, d: str) -> sitelines.SiteLines:
     return sitelines.SiteLines(table(spark, d, "documents"), "doc_id", "text", "source")
 

@@ -181,7 +181,7 @@ def near_duplicates(
             st = np.flatnonzero(np.diff(d, prepend=-1))
             node = K.mix(np.add.reduceat(K.mix(v), st)).view(np.int64)
             small = (v >> K.U64(32)).astype(np.uint32).view(np.int32)
-            yield pd.DataFrame({"node": node, "items": np.split(small, st[1:])})
+            yield pd.DataFrame({"node": node, "items": [np.unique(x) for x in np.split(small, st[1:])]})
 
     wanted = placed.select("rep").distinct()
     points = cut(df.join(wanted, df["id"] == wanted["rep"], "left_semi").select("t").mapInPandas(point_sets, "node long, items array<int>").dropDuplicates(["node"]))
@@ -189,7 +189,7 @@ def near_duplicates(
 
     def sim(a: str, b: str):
         both = F.size(F.array_intersect(a, b))
-        return both / (F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - both)
+        return both / (F.size(a) + F.size(b) - both)  # items are distinct
 
     at_pivot = placed.where("node <> pivot").select("pivot", "node").join(points, "node").join(points.select(F.col("node").alias("pivot"), F.col("items").alias("_p")), "pivot")
     region = cut(at_pivot.select("pivot", "node", (1 - sim("items", "_p")).alias("dist")))
@@ -199,7 +199,9 @@ def near_duplicates(
     every = F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_o")
     a = inner.select("pivot", "_i", every, "node", "dist", "items").select(F.col("pivot"), F.col("_i").alias("i"), F.col("_o").cast("long").alias("j"), F.col("node").alias("node_a"), F.col("dist").alias("da"), F.col("items").alias("ia"))
     b = inner.select("pivot", "_i", every, "node", "dist", "items").select(F.col("pivot"), F.col("_o").cast("long").alias("i"), F.col("_i").alias("j"), F.col("node").alias("node_b"), F.col("dist").alias("db"), F.col("items").alias("ib"))
-    window = (F.col("node_a") < F.col("node_b")) & (F.abs(F.col("da") - F.col("db")) <= radius + 1e-9)
+    # Also the triangle inequality with the empty set as pivot: sizes bound the similarity.
+    na, nb = F.size("ia"), F.size("ib")
+    window = (F.col("node_a") < F.col("node_b")) & (F.abs(F.col("da") - F.col("db")) <= radius + 1e-9) & (na >= nb * (threshold - 1e-9)) & (nb >= na * (threshold - 1e-9))
     met = a.join(b, ["pivot", "i", "j"]).where(window)
     inside = met.select("node_a", "node_b", F.when(F.col("da") + F.col("db") <= radius, F.lit(None)).otherwise(sim("ia", "ib")).alias("similarity"))
     inside = inside.where(F.col("similarity").isNull() | (F.col("similarity") >= threshold - 1e-9))

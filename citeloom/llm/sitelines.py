@@ -39,7 +39,9 @@ def line_digests(texts: list[str | None], min_chars: int) -> dict[str, np.ndarra
     """Digests of the lines with at least ``min_chars`` characters between the outer blanks.
 
     key: equal for lines equal but for case, amount of white space and values of digit runs.
-    c1, c2: hashes of the masked line, equal with high probability for near-equal lines.
+    c1, c2: locality-sensitive hashes, equal with high probability for near-equal lines: c1 of
+    the line with numbers and names masked, c2 with the values of digit runs masked only,
+    so lines of one key always share c2.
     """
     cp, starts = K.codes(texts)
     kind, low = K.tables()
@@ -59,9 +61,11 @@ def line_digests(texts: list[str | None], min_chars: int) -> dict[str, np.ndarra
     flat[digit], flat[space] = 48, 32
     at = np.zeros(len(cp) + 1, np.int64)
     np.cumsum(keep, out=at[1:])
-    key = K.span_hash(K.prefix_hash(flat[keep]), at[ts], at[te])
+    hashed = K.prefix_hash(flat[keep])
+    key = K.span_hash(hashed, at[ts], at[te])
 
-    ws, we, wh, _ = K.words(cp)
+    ws, we = K.runs((k & (K.LETTER | K.DIGIT)) != 0)
+    wh = K.span_hash(hashed, at[ws], at[we])
     line = np.searchsorted(ts, ws, "right") - 1
     inside = (line >= 0) & (ws < te[np.maximum(line, 0)]) if len(ts) else np.zeros(len(ws), bool)
     ws, wh, line = ws[inside], wh[inside], line[inside]
@@ -71,14 +75,15 @@ def line_digests(texts: list[str | None], min_chars: int) -> dict[str, np.ndarra
     lowered[line[~upper & ((kind[cp[ws]] & K.LETTER) != 0)]] = True
     name = upper & ~first & lowered[line]
     tok = np.where((kind[cp[ws]] & K.DIGIT) != 0, NUMBER, np.where(name, NAME, wh))
-    prev = np.empty_like(tok)
-    prev[1:] = tok[:-1]
-    prev[first] = 1
-    grams = K.mix(prev * K.BASE + tok)
     c = np.zeros((len(ts), 2), np.int64)
-    if len(tok):
-        st = np.flatnonzero(first)
-        c[line[st]] = K.band_keys(K.minhash(grams, st, SEEDS), 2, salt=7)
+    st = np.flatnonzero(first)
+    for j, (x, seeds) in enumerate(((tok, SEEDS[:2]), (wh, SEEDS[2:]))):
+        if not len(x):
+            continue
+        prev = np.empty_like(x)
+        prev[1:] = x[:-1]
+        prev[first] = 1
+        c[line[st], j] = K.band_keys(K.minhash(K.mix(prev * K.BASE + x), st, seeds), 2, salt=7 + j)[:, 0]
     bare = np.ones(len(ts), bool)
     bare[line] = False
     c[bare] = key[bare].view(np.int64)[:, None]  # lines of signs only

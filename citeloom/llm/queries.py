@@ -80,13 +80,13 @@ def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
     pubs = table(spark, d, "publications")
-    arts = table(spark, d, "articles").select("article_id", "title", "authors", "pub_year", "loaded_at")
-    refs = table(spark, d, "structured_refs").select("reference_id", "title", "authors", "pub_year", "journal", "volume", "pagination", "loaded_at")
+    arts = table(spark, d, "articles").select("article_id", "title", "authors", "pub_year")
+    refs = table(spark, d, "structured_refs").select("reference_id", "title", "authors", "pub_year", "journal", "volume", "pagination")
     form = lookalike.fit((pubs, "title"), (arts, "title"), (refs, "title"))
     index = linkage.Publications(pubs, form)
     none = F.lit(None).cast("string")
-    refs = one_delivery(refs, "reference_id", "loaded_at").select(F.col("reference_id").alias("id"), "title", "authors", F.col("pub_year").alias("year"), "journal", F.col("volume").alias("vol"), F.col("pagination").alias("page"))
-    arts = one_delivery(arts, "article_id", "loaded_at").select(F.col("article_id").alias("id"), "title", "authors", F.col("pub_year").alias("year"), none.alias("journal"), none.alias("vol"), none.alias("page"))
+    refs = refs.select(F.col("reference_id").alias("id"), "title", "authors", F.col("pub_year").alias("year"), "journal", F.col("volume").alias("vol"), F.col("pagination").alias("page"))
+    arts = arts.select(F.col("article_id").alias("id"), "title", "authors", F.col("pub_year").alias("year"), none.alias("journal"), none.alias("vol"), none.alias("page"))
     a = index.match(arts).withColumn("table_name", F.lit("articles"))
     return index.match(refs).withColumn("table_name", F.lit("structured_refs")).unionByName(a)
 

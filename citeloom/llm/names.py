@@ -16,7 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, one_delivery
@@ -325,14 +325,19 @@ def entities(df: DataFrame, key: str = "contributor_id", at: str | None = "loade
     names = cut(prof.groupBy("name").agg(F.count("*").alias("n")))
     root = pivots(names, cut(radius_pairs(names)))
     kinds = prof.groupBy("name", "initials", "forename", "place").agg(F.count("*").alias("n")).join(root, "name")
+    kinds = cut(kinds.withColumn("k", F.count("*").over(Window.partitionBy("root"))))
     out = "name string, initials string, forename string, place string, entity string"
 
     def run(k: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.reset_index(drop=True)
-        f["entity"] = k[0] if k[0].startswith("b:") else [f"{k[0]}#{i}" for i in split_group(f)]
+        f["entity"] = [f"{k[0]}#{i}" for i in split_group(f)]
         return f[["name", "initials", "forename", "place", "entity"]]
 
-    who = kinds.groupBy("root").applyInPandas(run, out)
+    # Bodies and surnames with one profile need no telling apart.
+    plainly = F.col("root").startswith("b:") | (F.col("k") == 1)
+    who = kinds.where(~plainly).drop("k").groupBy("root").applyInPandas(run, out)
+    alone = F.when(F.col("root").startswith("b:"), F.col("root")).otherwise(F.concat("root", F.lit("#0")))
+    who = who.unionByName(kinds.where(plainly).select("name", "initials", "forename", "place", alone.alias("entity")))
     return prof.join(who, ["name", "initials", "forename", "place"]).select("id", "entity")
 
 

@@ -132,14 +132,14 @@ def alphabet(df: DataFrame, *columns: str) -> dict[str, int]:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
-        total: dict[int, int] = {}
+        total = np.zeros(0x110000, np.int64)
         for b in batches:
             for c in b.columns:
                 raw = "".join(x for x in b[c] if x).encode("utf-32-le", "surrogatepass")
-                u, n = np.unique(np.frombuffer(raw, np.uint32), return_counts=True)
-                for i, k in zip(u.tolist(), n.tolist()):
-                    total[i] = total.get(i, 0) + k
-        yield pd.DataFrame({"cp": list(total), "n": list(total.values())}, columns=["cp", "n"]).astype("int64")
+                n = np.bincount(np.frombuffer(raw, np.uint32))
+                total[: len(n)] += n
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"cp": seen, "n": total[seen]})
 
     rows = df.select(*columns).mapInPandas(count, "cp long, n long").groupBy("cp").agg(F.sum("n").alias("n")).collect()
     return {chr(r.cp): r.n for r in rows if not 0xD800 <= r.cp <= 0xDFFF}

@@ -75,7 +75,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
-    return scans.repair(table(spark, d, "documents"), "doc_id", "text", _scan_vocabulary(spark, d)).select(F.col("record_id").alias("doc_id"), "text", "changed")
+    return scans.repair(table(spark, d, "documents"), "doc_id", "text", _scan_vocabulary(spark, d)).select(F.col("record_id").alias("doc_id"), "text", "scanned")
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:

@@ -15,15 +15,21 @@ def test_line_noise():
     got = set(scans.line_noise(SCAN, VOCAB))
     assert {(1, "furniture"), (6, "furniture"), (8, "furniture"), (3, "hyphen"), (3, "ocr"), (7, "ocr")} == got
     assert scans.line_noise("One line that is long but never wrapped.", VOCAB) == []
-    fixed = scans.repaired(SCAN, VOCAB)
-    assert "community increased the use of diesel in the outbreak" in fixed and "long-term report" in fixed and "12" not in fixed
+
+
+def test_repair_reflows(spark):
+    df = spark.createDataFrame([(1, SCAN), (1, SCAN), (2, "One line."), (3, None), (4, "")], "doc_id long, text string")
+    got = {r.record_id: (r.text, r.scanned) for r in scans.repair(df, "doc_id", "text", VOCAB).collect()}
+    assert got[2] == ("One line.", False) and got[3] == (None, False) and got[4] == ("", False)
+    fixed = got[1][0]
+    assert "community increased the use of diesel in the outbreak" in fixed and "long-term report" in fixed and "12" not in fixed and "14" not in fixed
 
 
 def test_scan_frames(spark):
     df = spark.createDataFrame([(1, SCAN), (2, None), (3, ""), (4, "x" * 200_000), (None, SCAN)], "doc_id long, text string")
     v = scans.vocabulary([(df, "text")])
     assert {r.record_id for r in scans.noise_lines(df, "doc_id", "text", v).collect()} <= {1}
-    assert {r.record_id: r.changed for r in scans.repair(df.where("doc_id > 1"), "doc_id", "text", v).collect()} == {2: False, 3: False, 4: False}
+    assert {r.record_id: r.scanned for r in scans.repair(df.where("doc_id > 1"), "doc_id", "text", v).collect()} == {2: False, 3: False, 4: False}
     assert scans.noise_lines(df.limit(0), "doc_id", "text", v).count() == 0
 
 

@@ -31,8 +31,9 @@ def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame,
     each = p.select("p", "c", F.explode("w").alias("w"))
     freq = each.groupBy("w").agg(F.count("*").alias("n"))
     anchors = each.join(freq, "w").groupBy("p", "c").agg(F.min_by("w", F.struct("n", -F.length("w"), "w")).alias("w"))
-    tokens = d.select("d", "t", F.explode(F.array_distinct(F.split("t", " "))).alias("w")).where("w <> ''")
-    found = tokens.join(anchors, "w").where(F.col("t").contains(F.col("c"))).select("d", "p", "c")
+    # Only ids meet by word; a text moves once per candidate, not once per word.
+    tokens = d.select("d", F.explode(F.array_distinct(F.split("t", " "))).alias("w")).where("w <> ''")
+    found = tokens.join(anchors, "w").select("d", "p", "c").distinct().join(d, "d").where(F.col("t").contains(F.col("c"))).select("d", "p", "c")
     # Titles of one or two words are looked up by their first characters at every place.
     short = p.where(F.size("w") == 0).select("p", "c", F.substring("c", 1, least).alias("w"))
     if not short.isEmpty():
@@ -59,19 +60,21 @@ def tfidf_matches(refs: DataFrame, ref_id: str, ref_title: str, pubs: DataFrame,
     total = p.agg(F.count("*").alias("n"))
     pc = _counts(p, "p")
     idf = pc.groupBy("t").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total)).select("t", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    pw = pc.join(idf, "t").select("p", "t", (F.col("tf") * F.col("idf")).alias("w"))
-    qw = _counts(q, "q").join(idf, "t").select("q", "t", (F.col("tf") * F.col("idf")).alias("w"))
+    pw = pc.join(idf, "t").select("p", "t", "idf", (F.col("tf") * F.col("idf")).alias("w"))
+    qw = _counts(q, "q").join(idf, "t").select("q", "t", "idf", (F.col("tf") * F.col("idf")).alias("w"))
 
     def vectors(x: DataFrame, key: str) -> DataFrame:
         norm = F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
-        v = x.groupBy(key).agg(norm, F.sort_array(F.collect_list(F.struct("w", "t")), asc=False).alias("v"))
+        v = x.groupBy(key).agg(norm, F.sort_array(F.collect_list(F.struct("idf", "t", "w")), asc=False).alias("v"))
         return v.select(key, F.transform("v", lambda e: F.struct((e["w"] / F.col("norm")).alias("w"), e["t"].alias("t"))).alias("v"))
 
     pv, qv = vectors(pw, "p"), vectors(qw, "q")
-    # What follows the prefix has a norm below the threshold, so it cannot reach it alone.
+    # Both sides list their words from the rarest on, in one order for all. What follows a
+    # prefix has a norm below the threshold, so it cannot reach it alone: the rarest word that
+    # a match shares stands in both prefixes.
     tail = lambda i: F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda a, e: a + e["w"] * e["w"])
-    prefix = F.filter(F.transform("v", lambda e, i: F.when(tail(i) >= least * least - 1e-9, e["t"])), lambda x: x.isNotNull())
-    pairs = qv.select("q", F.explode(prefix).alias("t")).join(pw.select("p", "t"), "t").select("q", "p").distinct()
+    prefix = F.filter(F.transform("v", lambda e, i: F.when(tail(i) >= least * least - 1e-5, e["t"])), lambda x: x.isNotNull())
+    pairs = qv.select("q", F.explode(prefix).alias("t")).join(pv.select("p", F.explode(prefix).alias("t")), "t").select("q", "p").distinct()
     asmap = F.map_from_entries(F.transform("pvec", lambda e: F.struct(e["t"], e["w"])))
     dot = F.aggregate("qvec", F.lit(0.0), lambda a, e: a + e["w"] * F.coalesce(F.try_element_at(asmap, e["t"]), F.lit(0.0)))
     scored = pairs.join(pv.select("p", F.col("v").alias("pvec")), "p").join(qv.select("q", F.col("v").alias("qvec")), "q").select("q", "p", F.round(dot, 6).alias("similarity")).where(F.col("similarity") > least)

@@ -75,7 +75,7 @@ def distinct(v: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return v[first], d[first]
 
 
-def chunks(frames: Iterator[pd.DataFrame], text: str, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def chunks(frames: Iterator[pd.DataFrame], text: str, chars: int = 2_000_000) -> Iterator[pd.DataFrame]:
     """Frames cut so that each holds about ``chars`` characters, or one longer text."""
     for f in frames:
         size = f[text].str.len().fillna(0).to_numpy().cumsum()

@@ -36,19 +36,24 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     return kind, low
 
 
-@functools.lru_cache(maxsize=4)
+_POWERS: list[np.ndarray] = [np.empty(0, U64), np.empty(0, U64)]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i up to n."""
-    p, q = np.empty(n, U64), np.empty(n, U64)
-    p[0] = q[0] = 1
-    with np.errstate(over="ignore"):
-        m, bp, bq = 1, BASE, _INV
-        while m < n:  # doubling
-            k = min(m, n - m)
-            p[m : m + k] = p[:k] * bp
-            q[m : m + k] = q[:k] * bq
-            bp, bq, m = bp * bp, bq * bq, 2 * m
-    return p, q
+    """BASE**i and BASE**-i modulo 2**64 for i up to at least n; one table that grows."""
+    if len(_POWERS[0]) < n:
+        n = 1 << max(16, (n - 1).bit_length())
+        p, q = np.empty(n, U64), np.empty(n, U64)
+        p[0] = q[0] = 1
+        with np.errstate(over="ignore"):
+            m, bp, bq = 1, BASE, _INV
+            while m < n:  # doubling
+                k = min(m, n - m)
+                p[m : m + k] = p[:k] * bp
+                q[m : m + k] = q[:k] * bq
+                bp, bq, m = bp * bp, bq * bq, 2 * m
+        _POWERS[:] = [p, q]
+    return _POWERS[0], _POWERS[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -74,8 +79,7 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
     """H with span hash(s, e) = (H[e] - H[s]) * BASE**-s; see span_hash."""
-    size = 1 << max(16, int(len(values) + 1).bit_length())
-    p, _ = powers(size)
+    p, _ = powers(len(values) + 1)
     h = np.empty(len(values) + 1, U64)
     h[0] = 0
     np.cumsum((values.astype(U64) + U64(1)) * p[: len(values)], out=h[1:])
@@ -83,8 +87,7 @@ def prefix_hash(values: np.ndarray) -> np.ndarray:
 
 
 def span_hash(h: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    size = 1 << max(16, int(len(h)).bit_length())
-    _, q = powers(size)
+    _, q = powers(len(h))
     return mix((h[e] - h[s]) * q[s] + (e - s).astype(U64) * U64(0x632BE59BD9B4E019))
 
 

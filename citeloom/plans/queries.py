@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fulltext, text, urls
-from ..operators import evaluate, layout, manifest, matching, search
+from ..operators import evaluate, layout, limits, manifest, matching, search
 from ..operators.multivalue import value_rows
 from ..session import cut, one_delivery, table
 from ..streaming import incremental
@@ -277,8 +277,7 @@ def reload_organisation(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def rate_limit_trailing(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("user_id", "event_type").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-3_600_000_000, 0)
-    e = table(s, d, "events").withColumn("calls", F.count("*").over(w))
+    e = limits.trailing_calls(table(s, d, "events"), ["user_id", "event_type"], "ts", 3600)
     return e.where("calls >= 2").select("event_id", "user_id", "event_type", "calls")
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.operators import evaluate, manifest, scrape
+from citeloom.operators import evaluate, limits, manifest, scrape
 from citeloom.sources import readers, writers
 from citeloom.streaming import incremental
 
@@ -77,3 +77,12 @@ def test_stream_equals_batch(spark, tmp_path):
     m = incremental.keep_manifest(s.select("user", "res"), str(tmp_path / "m"), "user", ["res"], str(tmp_path / "cp"))
     m.awaitTermination()
     assert {r.user for r in spark.read.parquet(str(tmp_path / "m")).collect()} == {"u", "v"}
+
+
+def test_trailing_calls(spark):
+    rows = [(i, "u", i / 10) for i in range(301)] + [(900, "u", 40.0), (901, "v", 10.0), (902, "u", 20.0)]
+    df = spark.createDataFrame(rows, "id int, user string, s double").withColumn("ts", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")))
+    got = {r.id: r.calls for r in limits.trailing_calls(df, ["user"], "ts", 10).collect()}
+    want = {i: sum(1 for _, u2, s2 in rows if u2 == u and s - 10 <= s2 <= s) for i, u, s in rows}
+    assert got == want
+    assert limits.exceeded(df, ["user"], "ts", 10, 10.0).count() == sum(n / 10 > 10 for n in want.values())

@@ -80,9 +80,9 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_trailing_calls(spark):
-    rows = [(i, "u", i / 10) for i in range(301)] + [(900, "u", 40.0), (901, "v", 10.0), (902, "u", 20.0)]
-    df = spark.createDataFrame(rows, "id int, user string, s double").withColumn("ts", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")))
+    rows = [(i, "u", i) for i in range(301)] + [(900, "u", 400), (901, "v", 100), (902, "u", 200)]  # tenths of a second
+    df = spark.createDataFrame(rows, "id int, user string, s long").withColumn("ts", F.timestamp_micros(F.col("s") * 100_000))
     got = {r.id: r.calls for r in limits.trailing_calls(df, ["user"], "ts", 10).collect()}
-    want = {i: sum(1 for _, u2, s2 in rows if u2 == u and s - 10 <= s2 <= s) for i, u, s in rows}
+    want = {i: sum(1 for _, u2, s2 in rows if u2 == u and s - 100 <= s2 <= s) for i, u, s in rows}
     assert got == want
     assert limits.exceeded(df, ["user"], "ts", 10, 10.0).count() == sum(n / 10 > 10 for n in want.values())

@@ -62,7 +62,7 @@ def p4_entities(spark: SparkSession, d: str) -> DataFrame:
     return names.entities(table(spark, d, "contributors")).toDF("contributor_id", "entity")
 
 
-def _scan_vocabulary(spark: SparkSession, d: str) -> scans.Vocabulary:
+def _scan_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return scans.vocabulary([(table(spark, d, "documents"), "text"), (table(spark, d, "pdf_sections"), "sections")])
 
 

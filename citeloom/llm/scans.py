@@ -3,15 +3,17 @@
 Words are grouped by the skeleton that their confusable glyphs leave; within a group the form
 that the collection (in texts that were not scanned) or the text itself supports is the right
 one. Lines equal but for digits and misread glyphs are running headers. The text is then
-reflowed. Vocabulary counts cover all texts; only words above a share of all words are sent
-to the tasks, so at most 1 / share words.
+reflowed. Vocabulary counts cover all texts and all words. They stay a table: the words that
+blocks of scanned texts ask for, and the forms those may be misread from, are joined with it,
+so a task holds the counts of its block only and every word keeps its count at every size.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -153,8 +155,35 @@ def variants(w: str) -> Iterator[tuple[str, bool]]:
             at = w.find(bad, at + 1)
 
 
+def asked_words(text: str, gone: set[int]) -> set[str]:
+    """Every word whose count line_noise and kept_lines look up for a scanned text."""
+    lines = text.split("\n")
+    body = [i for i, x in enumerate(lines) if x.strip() and i not in gone]
+    out: set[str] = set()
+    for p, i in enumerate(body):
+        out.update(w.lower() for w in WORD.findall(lines[i]))
+        x = lines[i].strip()
+        if x[-1] in HYPHENS and p + 1 < len(body):
+            left, right = re.search(r"([^\W_|!]+).$", x), re.match(r"\s*([^\W_]+)", lines[body[p + 1]])
+            if left and right:
+                a, b = left[1], right[1]
+                out.update(w.lower() for w in (a, b, a + b, f"{a}-{b}"))
+    return out
+
+
+def printed_forms(w: str, own: int) -> set[str]:
+    """Every form whose count ``intended`` looks up for a word counted ``own`` times."""
+    marked = bool(MARK.search(w))
+    if own >= 3 or len(w) < 3 or w.isdigit() or "-" in w:
+        return set()
+    out = {c for c, _ in variants(w)}
+    if marked:
+        out |= {c2 for c in list(out) if MARK.search(c) for c2, _ in variants(c)}
+    return out
+
+
 class Vocabulary:
-    """Counts of words in the texts that were not scanned, above a share of all words."""
+    """Counts of words in the texts that were not scanned."""
 
     def __init__(self, counts: dict[str, int], total: int) -> None:
         self.n, self.total = counts, total
@@ -169,7 +198,7 @@ class Vocabulary:
         if names and word[:1].isupper() and not MARK.search(w) and not re.search("rn|cl|ii|vv|ri|ü", w):
             return None
         own = self.n.get(w, 0)
-        if own >= 3 or len(w) < 3 or w.isdigit() or (own and not MARK.search(w)):
+        if own >= 3 or len(w) < 3 or w.isdigit():
             return None
         marked = bool(MARK.search(w)) and any(c.isalpha() for c in w)
         best, support = None, 0
@@ -201,12 +230,12 @@ class Vocabulary:
         return not (l >= 5 and r >= 5 and len(left) > 3 and len(right) > 3)
 
 
-def line_noise(text: str, vocab: Vocabulary, references: bool = False) -> list[tuple[int, str]]:
-    """(line number, kind) of every noisy line of a scanned text."""
-    if not is_scanned(text):
+def line_noise(text: str, vocab: Vocabulary, references: bool = False, gone: set[int] | None = None) -> list[tuple[int, str]]:
+    """(line number, kind) of every noisy line of a scanned text; ``gone``: its furniture, if known."""
+    if gone is None and not is_scanned(text):
         return []
     lines = text.split("\n")
-    gone = furniture(lines, references)
+    gone = furniture(lines, references) if gone is None else gone
     out = [(i + 1, "furniture") for i in gone]
     body = [i for i, x in enumerate(lines) if x.strip() and i not in gone]
     here = Counter(w.lower() for i in body for w in WORD.findall(lines[i]))
@@ -232,13 +261,10 @@ def line_noise(text: str, vocab: Vocabulary, references: bool = False) -> list[t
     return out
 
 
-def kept_lines(text: str, vocab: Vocabulary, references: bool = False) -> list[tuple[int, str, bool, bool]]:
-    """(line number, text, glued to the line before, starts a paragraph) of the lines that are
-    no furniture; the hyphen of a divided word is gone. Unscanned texts are one line."""
-    if not is_scanned(text):
-        return [(0, text, False, True)]
+def kept_lines(text: str, vocab: Vocabulary, gone: set[int]) -> list[tuple[int, str, bool, bool]]:
+    """(line number, text, glued to the line before, starts a paragraph) of the lines of a scanned
+    text that are no furniture; the hyphen of a divided word is gone."""
     lines = text.split("\n")
-    gone = furniture(lines, references)
     width = max(len(x) for x in lines)
     out: list[tuple[int, str, bool, bool]] = []
     gap = False
@@ -278,8 +304,8 @@ def corrected(text: str, vocab: Vocabulary, references: bool = False) -> str:
     return WORD.sub(right, text)
 
 
-def vocabulary(frames: list[tuple[DataFrame, str]], share: float = 1e-6, floor: int = 3) -> Vocabulary:
-    """Counts over all texts that were not scanned; words and hyphenated compounds."""
+def vocabulary(frames: list[tuple[DataFrame, str]]) -> DataFrame:
+    """(w, n): counts over all texts that were not scanned; words and hyphenated compounds."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in chunks(batches, "t"):
@@ -298,51 +324,93 @@ def vocabulary(frames: list[tuple[DataFrame, str]], share: float = 1e-6, floor:
     for df, c in frames:
         part = df.where(F.col(c).isNotNull()).select(F.col(c).alias("t")).mapInPandas(count, "w string, n long")
         both = part if both is None else both.union(part)
-    words = cut(both.groupBy("w").agg(F.sum("n").alias("n")))
-    total = words.agg(F.sum("n")).first()[0] or 0
-    least = max(floor, share * total)
-    return Vocabulary({r.w: r.n for r in words.where(F.col("n") >= least).toLocalIterator()}, total)
+    return cut(both.groupBy("w").agg(F.sum("n").alias("n")))
 
 
-def noise_lines(df: DataFrame, id_col: str, text_col: str, vocab: Vocabulary, references: bool = False) -> DataFrame:
-    """(record_id, line_no, noise_kind), each once; null and unscanned texts have none."""
-    held = df.sparkSession.sparkContext.broadcast(vocab)
+def scanned_texts(df: DataFrame, references: bool) -> DataFrame:
+    """(id, t, gone) of the scanned texts of (id, t); gone: the indices of furniture."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = held.value
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(i, n, k) for i, t in zip(f["id"], f["t"]) for n, k in line_noise(t, v, references)]
-            yield pd.DataFrame(rows, columns=["record_id", "line_no", "noise_kind"])
+            g = f[[is_scanned(t) for t in f["t"]]]
+            gone = [sorted(furniture(t.split("\n"), references)) for t in g["t"]]
+            yield g.assign(gone=pd.Series(gone, index=g.index, dtype=object))
+
+    return df.mapInPandas(find, "id long, t string, gone array<int>")
+
+
+def judged(texts: DataFrame, words: DataFrame | Vocabulary, ask: Callable[[str, set[int]], set[str]], judge: Callable[[int, str, set[int], Vocabulary], list[tuple]], schema: str, chars: int = 200_000) -> DataFrame:
+    """The rows of judge(id, text, gone, vocabulary) for every text of (id, t, gone).
+
+    The vocabulary holds the words that ``ask`` names for the text's block (about ``chars``
+    characters of texts) and the forms they may be misread from, with their full counts.
+    """
+    if isinstance(words, Vocabulary):
+        words = texts.sparkSession.createDataFrame(list(words.n.items()), "w string, n long")
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in chunks(frames, "t", chars):
+            first = f"{f['id'].iloc[0]} {f['t'].iloc[0]}".encode("utf-8", "surrogatepass")
+            yield f.assign(g=int.from_bytes(hashlib.blake2b(first, digest_size=8).digest(), "little", signed=True))
+
+    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = {(g, k) for g, t, gone in zip(f["g"], f["t"], f["gone"]) for k in ask(t, set(gone))}
+            yield pd.DataFrame(list(rows), columns=["g", "k"])
+
+    def forms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame([(k, w) for k, n in zip(f["k"], f["n"]) for w in printed_forms(k, n)], columns=["k", "w"])
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        v = Vocabulary(dict(zip(right["w"], right["n"])), 0)
+        return pd.DataFrame([r for i, t, gone in zip(left["id"], left["t"], left["gone"]) for r in judge(i, t, set(gone), v)], columns=names)
+
+    blocks = cut(texts.mapInPandas(block, "g long, id long, t string, gone array<int>"))
+    asked = cut(blocks.mapInPandas(keys, "g long, k string").distinct())
+    own = cut(asked.select("k").distinct().join(words.withColumnRenamed("w", "k"), "k", "left").select("k", F.coalesce("n", F.lit(0)).alias("n")))
+    other = own.where("n < 3").mapInPandas(forms, "k string, w string").join(words, "w").select("k", "w", "n")
+    known = own.where("n > 0").select("k", F.col("k").alias("w"), "n").unionByName(other)
+    counts = asked.join(known, "k").select("g", "w", "n").distinct()
+    return blocks.groupBy("g").cogroup(counts.groupBy("g")).applyInPandas(run, schema)
+
+
+def noise_lines(df: DataFrame, id_col: str, text_col: str, words: DataFrame | Vocabulary, references: bool = False) -> DataFrame:
+    """(record_id, line_no, noise_kind), each once; null and unscanned texts have none."""
+
+    def judge(i: int, t: str, gone: set[int], v: Vocabulary) -> list[tuple]:
+        return [(i, n, k) for n, k in line_noise(t, v, references, gone)]
 
     src = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return src.mapInPandas(run, "record_id long, line_no int, noise_kind string").distinct()
+    return judged(scanned_texts(src, references), words, asked_words, judge, "record_id long, line_no int, noise_kind string").distinct()
 
 
-def repair(df: DataFrame, id_col: str, text_col: str, vocab: Vocabulary, references: bool = False) -> DataFrame:
+def repair(df: DataFrame, id_col: str, text_col: str, words: DataFrame | Vocabulary, references: bool = False) -> DataFrame:
     """(record_id, text, scanned): every text once, scanned ones repaired; null stays null.
 
     Tasks only judge lines; SQL windows number the paragraphs and aggregation reflows them.
     Ids delivered twice give one row, of the delivery that sorts first.
     """
-    held = df.sparkSession.sparkContext.broadcast(vocab)
 
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(i, *r) for i, t in zip(f["id"], f["t"]) for r in kept_lines(t, held.value, references)]
-            yield pd.DataFrame(rows, columns=["id", "line_no", "line", "glued", "starts"])
+    def judge(i: int, t: str, gone: set[int], v: Vocabulary) -> list[tuple]:
+        return [(i, *r) for r in kept_lines(t, v, gone)]
+
+    def right(i: int, t: str, gone: set[int], v: Vocabulary) -> list[tuple]:
+        return [(i, corrected(t, v, references), True)]
 
-    @F.pandas_udf("string")
-    def correct(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else corrected(t, held.value, references))
+    def own_words(t: str, gone: set[int]) -> set[str]:
+        return {w.lower() for w in WORD.findall(t)}
 
-    src = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(text_col).alias("t"))
-    lines = cut(src.where("t IS NOT NULL").mapInPandas(judge, "id long, line_no int, line string, glued boolean, starts boolean"))
-    whole = lines.where("line_no = 0").select("id", F.col("line").alias("text"), F.lit(False).alias("scanned"))
+    src = cut(df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(text_col).alias("t")))
+    scans = cut(scanned_texts(src.where("t IS NOT NULL"), references))
+    lines = cut(judged(scans, words, asked_words, judge, "id long, line_no int, line string, glued boolean, starts boolean"))
+    whole = src.join(scans.select("id"), "id", "left_anti").select("id", F.col("t").alias("text"), F.lit(False).alias("scanned"))
     number = F.sum(F.col("starts").cast("int")).over(Window.partitionBy("id").orderBy("line_no"))
     lead = F.when(F.col("glued") | F.col("starts"), "").otherwise(" ")
-    parts = lines.where("line_no > 0").withColumn("p", number).groupBy("id", "p").agg(F.array_sort(F.collect_list(F.struct("line_no", F.concat(lead, F.col("line")).alias("x")))).alias("l"))
+    parts = lines.withColumn("p", number).groupBy("id", "p").agg(F.array_sort(F.collect_list(F.struct("line_no", F.concat(lead, F.col("line")).alias("x")))).alias("l"))
     paragraphs = parts.select("id", "p", F.array_join(F.transform("l", lambda e: e["x"]), "").alias("text"))
-    flowed = paragraphs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("p", "text"))).alias("ps")).select("id", correct(F.array_join(F.transform("ps", lambda e: e["text"]), "\n\n")).alias("text"), F.lit(True).alias("scanned"))
-    none = src.where("t IS NULL").select("id", F.lit(None).cast("string").alias("text"), F.lit(False).alias("scanned"))
-    blank = src.where("t IS NOT NULL").select("id").join(lines.select("id").distinct(), "id", "left_anti").select("id", F.lit("").alias("text"), F.lit(True).alias("scanned"))
-    return whole.unionByName(flowed).unionByName(none).unionByName(blank).withColumnRenamed("id", "record_id")
+    flowed = paragraphs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("p", "text"))).alias("ps")).select("id", F.array_join(F.transform("ps", lambda e: e["text"]), "\n\n").alias("t"), F.array().cast("array<int>").alias("gone"))
+    flowed = judged(flowed, words, own_words, right, "id long, text string, scanned boolean")
+    blank = scans.select("id").join(lines.select("id").distinct(), "id", "left_anti").select("id", F.lit("").alias("text"), F.lit(True).alias("scanned"))
+    return whole.unionByName(flowed).unionByName(blank).withColumnRenamed("id", "record_id")

@@ -33,6 +33,16 @@ def test_scan_frames(spark):
     assert scans.noise_lines(df.limit(0), "doc_id", "text", v).count() == 0
 
 
+def test_scan_counts_do_not_depend_on_size(spark):
+    """A word counted a few times keeps its count among six million others."""
+    fill = spark.range(30).select(F.col("id").cast("long").alias("doc_id"), F.repeat(F.lit("of "), 200_000).alias("text"))
+    text = "The first line of the page is about the archive\nand the second line names the rnunicipality of it\nwhile the third line closes the paragraph here."
+    rows = spark.createDataFrame([(100, text), (101, "municipality " * 5)], "doc_id long, text string")
+    v = scans.vocabulary([(fill.unionByName(rows), "text")])
+    got = scans.noise_lines(rows, "doc_id", "text", v).where("noise_kind = 'ocr'").collect()
+    assert [(r.record_id, r.line_no) for r in got] == [(100, 2)]
+
+
 def brute_lines(rows, least=0.05, docs=4):
     import re
 

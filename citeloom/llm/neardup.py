@@ -11,8 +11,9 @@ distances differ by more than the radius are left out, pairs whose distances sum
 than it are accepted, and the rest is compared exactly. Regions above a size are cut into
 blocks that join pairwise, so no task holds a whole region.
 
-Shingles in a large share of records (phrases of a house style) do not choose cells, but
-count in every distance. Records with equal shingle sets are one point.
+Cells are chosen by all shingles of a record, phrases of a house style included; with
+``common_share`` records get further cells chosen by their rarer shingles. Records with equal
+shingle sets are one point.
 """
 
 from __future__ import annotations
@@ -145,17 +146,15 @@ def near_duplicates(
             st = np.flatnonzero(np.diff(d, prepend=-1))
             own = d[st]
             node = K.mix(np.add.reduceat(K.mix(v), st)).view(np.int64)
+            at = np.repeat(np.arange(len(own)), np.diff(np.append(st, len(v))))
+            # Every point has cells of all its shingles, so any two points can meet.
+            sets = [(np.ones(len(v), bool), np.ones(len(own), bool), 1)]
             if len(common):
                 i = np.searchsorted(common, v)
                 i[i == len(common)] = 0
                 rare = common[i] != v
-                n_rare = np.add.reduceat(rare.astype(np.int64), st)
-                share = n_rare / np.diff(np.append(st, len(v)))
-                at = np.repeat(np.arange(len(own)), np.diff(np.append(st, len(v))))
-                sets = [(rare & (share[at] >= 0.2), share >= 0.2, 0), (share[at] < 0.4, share < 0.4, 1)]
-            else:
-                sets = [(np.ones(len(v), bool), np.ones(len(own), bool), 1)]
-                at = np.repeat(np.arange(len(own)), np.diff(np.append(st, len(v))))
+                share = np.add.reduceat(rare.astype(np.int64), st) / np.diff(np.append(st, len(v)))
+                sets.append((rare & (share[at] >= 0.2), share >= 0.2, 0))
             keys: list[list[np.ndarray]] = [[] for _ in own]
             for use, who, salt in sets:
                 if not who.any():

@@ -60,6 +60,15 @@ def test_small_blocks_and_common_shingles_lose_nothing(spark, texts):
     assert a == b and len(a ^ c) <= 0.01 * len(a)
 
 
+def test_insertion_into_a_text_with_many_copies(spark):
+    """Copies make all shingles of a text common; a longer copy of it is mostly rare, yet linked."""
+    text = " ".join(f"w{i}" for i in range(60))
+    longer = text + " " + " ".join(f"new{i}" for i in range(42))
+    links, members = pairs_of(spark, [text] * 40 + [longer] + [f"other{i} text{i} number{i} {i}" for i in range(60)], common_share=0.1, common_floor=10)
+    got = {(r.id_a, r.id_b) for r in neardup.record_pairs(links, members).where("id_a <> id_b").distinct().collect()}
+    assert {(i, 40) for i in range(40)} <= got
+
+
 def test_groups(spark, texts):
     g = {r.id: (r.class_id, r.links) for r in neardup.groups(*pairs_of(spark, texts)).collect()}
     assert g[0][0] == 0 and g[1][0] == 0

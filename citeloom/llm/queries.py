@@ -75,7 +75,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
-    return scans.repair(table(spark, d, "documents"), "doc_id", "text", _scan_vocabulary(spark, d)).select(F.col("record_id").alias("doc_id"), "text", "scanned")
+    v = _scan_vocabulary(spark, d)
+    docs = scans.repair(table(spark, d, "documents"), "doc_id", "text", v)
+    secs = scans.repair(table(spark, d, "pdf_sections"), "section_id", "sections", v, references=True)
+    both = docs.withColumn("table_name", F.lit("documents")).unionByName(secs.withColumn("table_name", F.lit("pdf_sections")))
+    return both.select("table_name", "record_id", "text", "scanned")
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:

@@ -43,6 +43,15 @@ def test_scan_counts_do_not_depend_on_size(spark):
     assert [(r.record_id, r.line_no) for r in got] == [(100, 2)]
 
 
+def test_repaired_covers_documents_and_sections(spark, tmp_path):
+    from citeloom.llm import queries
+
+    spark.createDataFrame([(1, SCAN), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, SCAN), (7, SCAN)], "section_id long, sections string").write.parquet(f"{tmp_path}/pdf_sections.parquet")
+    got = {(r.table_name, r.record_id): r.scanned for r in queries.p5_repaired(spark, str(tmp_path)).collect()}
+    assert got == {("documents", 1): True, ("documents", 2): False, ("pdf_sections", 1): True, ("pdf_sections", 7): True}
+
+
 def brute_lines(rows, least=0.05, docs=4):
     import re
 

@@ -35,7 +35,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.groups(*_document_links(spark, d)).select(F.col("id").alias("doc_id"), "class_id", "links")
+    docs = neardup.groups(*_document_links(spark, d)).withColumn("table_name", F.lit("documents"))
+    arts = neardup.groups(*_article_links(spark, d)).withColumn("table_name", F.lit("articles"))
+    return docs.unionByName(arts).select("table_name", F.col("id").alias("record_id"), "class_id", "links")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -49,8 +51,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_titles(spark: SparkSession, d: str) -> DataFrame:
     arts = one_delivery(table(spark, d, "articles").select("article_id", "title", "loaded_at"), "article_id", "loaded_at")
-    form = lookalike.fit((arts, "title"))
-    return arts.select("article_id", "title", form.column(F.col("title")).alias("consistent_title"))
+    refs = one_delivery(table(spark, d, "structured_refs").select("reference_id", "title", "loaded_at"), "reference_id", "loaded_at")
+    form = lookalike.fit((arts, "title"), (refs, "title"))
+    a = arts.select(F.lit("articles").alias("table_name"), F.col("article_id").alias("record_id"), "title")
+    r = refs.select(F.lit("structured_refs").alias("table_name"), F.col("reference_id").alias("record_id"), "title")
+    return a.unionByName(r).withColumn("consistent_title", form.column(F.col("title")))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

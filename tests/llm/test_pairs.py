@@ -77,6 +77,22 @@ def test_groups(spark, texts):
     assert 122 not in g  # no shingle, no class
 
 
+def test_titles_and_groups_cover_both_tables(spark, tmp_path):
+    from citeloom.llm import queries
+
+    at = "timestamp'2020-01-01'"
+    arts = spark.createDataFrame([(1, "fine effects of clean water"), (2, "fine effects of clean waters"), (2, "fine effects of clean waters"), (3, None)], "article_id long, title string")
+    refs = spark.createDataFrame([(1, "\ufb01ne effects of clean water"), (5, "fine effects of clean water"), (6, None)], "reference_id long, title string")
+    arts.selectExpr("*", f"{at} AS loaded_at").write.parquet(f"{tmp_path}/articles.parquet")
+    refs.selectExpr("*", f"{at} AS loaded_at").write.parquet(f"{tmp_path}/structured_refs.parquet")
+    spark.createDataFrame([(1, "a b c d e f g"), (4, "a b c d e f g"), (9, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    titles = {(r.table_name, r.record_id): r.consistent_title for r in queries.p3_titles(spark, str(tmp_path)).collect()}
+    assert set(titles) == {("articles", i) for i in (1, 2, 3)} | {("structured_refs", i) for i in (1, 5, 6)}
+    assert titles["structured_refs", 1] == titles["structured_refs", 5] == titles["articles", 1]
+    groups = {(r.table_name, r.record_id): r.class_id for r in queries.p1_groups(spark, str(tmp_path)).collect()}
+    assert groups == {("documents", 1): 1, ("documents", 4): 1, ("articles", 1): 1, ("articles", 2): 1}
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "id long, text string")
     links, members = neardup.near_duplicates(df, "id", "text", neardup.word_shingles, 0.5, 3, 28, common_share=0.01)

@@ -2,18 +2,16 @@
 
 Records are points of the metric space of shingle sets under Jaccard distance. At the
 distances asked for (0.5 and 0.4) a window of twice the radius around any fixed pivot spans
-the whole space, so pivots far from the data prune nothing. Pivots are therefore drawn where
-the data lie: the smallest record of every min-hash cell (a record falls in the cell of the
-shingle nearest to a random point) is the pivot of the cell's records. A pivot's records
-form its region; records fall into several regions, which replicates boundary records.
-Inside a region the triangle inequality decides on the distances to the pivot: pairs whose
-distances differ by more than the radius are left out, pairs whose distances sum to no more
-than it are accepted, and the rest is compared exactly. Regions above a size are cut into
-blocks that join pairwise, so no task holds a whole region.
-
-Cells are chosen by all shingles of a record, phrases of a house style included; with
-``common_share`` records get further cells chosen by their rarer shingles. Records with equal
-shingle sets are one point.
+the whole space, so Voronoi regions of sampled pivots leave out no pair of regions. Pivots are
+therefore drawn where the data lie: points fall in the cell of the shingles nearest to random
+points (min-hash over all shingles, those of a house style included), a point lies in many
+cells, which replicates it across boundaries, and the least point of a cell is its pivot.
+
+Only ids, sizes and short sketches meet inside a cell; cells above a size are cut into blocks
+that join pairwise. Pairs that sizes or sketches leave possible get an exact distance: first
+every point and its pivot, then, where the triangle inequality over the pivot neither
+rejects (distances differ by more than the radius) nor accepts (they sum to no more than it),
+the two points. Records with equal shingle sets are one point.
 """
 
 from __future__ import annotations
@@ -85,92 +83,71 @@ def chunks(frames: Iterator[pd.DataFrame], text: str, chars: int = 2_000_000) ->
             yield g
 
 
-def common_shingles(df: DataFrame, shingler: Shingler, share: float, floor: int) -> tuple[np.ndarray, int]:
-    """Shingles in at least ``share`` of the records (and ``floor``), from counts over all records.
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """Two bits of each of the first 96 min-hashes of every point: (points, 3) int64."""
+    two = (sig[:, :96] & 3).astype(K.U64).reshape(len(sig), 3, 32)
+    return np.bitwise_or.reduce(two << (K.U64(2) * np.arange(32, dtype=K.U64)), axis=2).view(np.int64)
 
-    Every task reports what is common among its own records; at most
-    (mean shingles per record / share) can reach the share, which bounds what is collected.
-    """
 
-    def local(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            parts = []
-            for g in chunks(iter([f]), "t"):
-                v, d = distinct(*shingler(g["t"].tolist()))
-                parts.append(v)
-            v = np.concatenate(parts) if parts else np.empty(0, K.U64)
-            u, c = np.unique(v, return_counts=True)
-            keep = c >= max(2, share * len(f) / 2)
-            yield pd.DataFrame({"v": np.append(u[keep].view(np.int64), 0), "c": np.append(c[keep], 0), "n": np.append(np.zeros(keep.sum(), np.int64), len(f))})
-
-    got = df.mapInPandas(local, "v long, c long, n long").groupBy("v").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-    rows = cut(got.where(f"c >= {floor} OR n > 0"))
-    n = rows.agg(F.sum("n")).first()[0] or 0
-    heavy = [r.v for r in rows.where(F.col("c") >= max(floor, share * n)).select("v").toLocalIterator()]
-    return np.sort(np.array(heavy, np.int64).view(K.U64)), n
-
-
-def near_duplicates(
-    df: DataFrame,
-    id_col: str,
-    text_col: str,
-    shingler: Shingler,
-    threshold: float,
-    rows: int,
-    bands: int,
-    common_share: float | None = None,
-    common_floor: int = 25,
-    block: int = 2000,
-) -> tuple[DataFrame, DataFrame]:
+def most_apart(threshold: float) -> int:
+    """Of 96 sketch symbols, how many may differ between two points of similarity ``threshold``:
+    the mean and 3.7 standard deviations, which one such pair in 9,000 exceeds."""
+    p = 0.75 * (1 - threshold)
+    return int(np.ceil(96 * p + 3.7 * (96 * p * (1 - p)) ** 0.5))
+
+
+def near_duplicates(df: DataFrame, id_col: str, text_col: str, shingler: Shingler, threshold: float, rows: int, bands: int, block: int = 2000) -> tuple[DataFrame, DataFrame]:
     """(links, members): links (node_a, node_b, similarity) between different shingle sets with
-    Jaccard similarity of at least ``threshold``; members (node, id) for every record.
+    Jaccard similarity of at least ``threshold``, similarity null where the triangle
+    inequality alone decided; members (node, id) for every record.
 
     Records without a shingle (null, empty, too short) belong to no node. Ids delivered
     twice count once. Other columns of ``df`` are ignored, so their names cannot clash.
-    Recall is that of the cells: 1 - (1 - s**rows)**bands for a pair of similarity s.
+    Recall is that of the cells, 1 - (1 - s**rows)**bands for a pair of similarity s, however
+    common its shingles are; rows * bands is at least 96.
     """
     df = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    heavy = np.empty(0, K.U64)
-    if common_share:
-        heavy, _ = common_shingles(df.select("t"), shingler, common_share, common_floor)
-    held = df.sparkSession.sparkContext.broadcast(heavy)
+    if rows * bands < 96:
+        raise ValueError("sketches take 96 min-hashes")
     seeds = K.seeds(rows * bands)
 
     def signatures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = held.value
         for f in chunks(frames, "t"):
             v, d = distinct(*shingler(f["t"].tolist()))
-            ids = f["id"].to_numpy()
             if len(v) == 0:
                 continue
             st = np.flatnonzero(np.diff(d, prepend=-1))
-            own = d[st]
+            size = np.diff(np.append(st, len(v)))
             node = K.mix(np.add.reduceat(K.mix(v), st)).view(np.int64)
-            at = np.repeat(np.arange(len(own)), np.diff(np.append(st, len(v))))
-            # Every point has cells of all its shingles, so any two points can meet.
-            sets = [(np.ones(len(v), bool), np.ones(len(own), bool), 1)]
-            if len(common):
-                i = np.searchsorted(common, v)
-                i[i == len(common)] = 0
-                rare = common[i] != v
-                share = np.add.reduceat(rare.astype(np.int64), st) / np.diff(np.append(st, len(v)))
-                sets.append((rare & (share[at] >= 0.2), share >= 0.2, 0))
-            keys: list[list[np.ndarray]] = [[] for _ in own]
-            for use, who, salt in sets:
-                if not who.any():
-                    continue
-                a = at[use]
-                b = np.flatnonzero(np.diff(a, prepend=-1))
-                for o, k in zip(a[b].tolist(), K.band_keys(K.minhash(v[use], b, seeds), rows, salt)):
-                    keys[o].append(k)
-            yield pd.DataFrame({"id": ids[own], "node": node, "keys": [np.concatenate(k) if len(k) > 1 else k[0] for k in keys]})
-
-    sig = cut(df.mapInPandas(signatures, "id long, node long, keys array<long>"))
+            sig = K.minhash(v, st, seeds)
+            x = sketches(sig)
+            yield pd.DataFrame({"id": f["id"].to_numpy()[d[st]], "node": node, "size": size.astype(np.int32), "x": x[:, 0], "y": x[:, 1], "z": x[:, 2], "keys": list(K.band_keys(sig, rows))})
+
+    sig = cut(df.mapInPandas(signatures, "id long, node long, size int, x long, y long, z long, keys array<long>"))
     members = sig.select("node", "id").distinct()
-    points = sig.groupBy("node").agg(F.first("keys").alias("keys"), F.min("id").alias("rep"))
-    cells = cut(points.select("node", "rep", F.explode("keys").alias("key")))
-    pivots = cells.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_hi")).where("pivot <> _hi").select("key", "pivot")
-    placed = cut(cells.join(pivots, "key").select("pivot", "node", "rep").distinct())
+    points = cut(sig.groupBy("node").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "x", "y", "z", "keys")]))
+    # One exchange serves both the count of a cell and the way back to its points.
+    cells = points.select("node", F.explode("keys").alias("key")).repartition("key")
+    many = cells.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    shared = cells.join(many, "key").join(points.select("node", "size", "x", "y", "z"), "node")
+    shared = cut(shared.withColumn("k", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")).drop("n"))
+    every = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+
+    def side(tag: str, i: str, j: str) -> DataFrame:
+        wide = shared.select("key", "pivot", "node", "size", "x", "y", "z", "own", every)
+        return wide.select("key", F.col(i).alias("i"), F.col(j).alias("j"), *([F.col("pivot")] if tag == "a" else []), *[F.col(c).alias(f"{c}_{tag}") for c in ("node", "size", "x", "y", "z")])
+
+    def apart(c: str):
+        """Symbols of two bits that differ in one word of the sketches."""
+        d = F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    # Sizes bound the similarity: the triangle inequality with the empty set as pivot.
+    window = (F.col("node_a") < F.col("node_b")) & (F.col("size_a") >= F.col("size_b") * (threshold - 1e-9)) & (F.col("size_b") >= F.col("size_a") * (threshold - 1e-9))
+    near = apart("x") + apart("y") + apart("z") <= most_apart(threshold)
+    met = side("a", "own", "other").join(side("b", "other", "own"), ["key", "i", "j"]).where(window & near)
+    # A pivot is the least of its cell: node_a itself where the pair is one of point and pivot.
+    pairs = cut(met.groupBy("node_a", "node_b").agg(F.max("pivot").alias("pivot")))
 
     def point_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in chunks(frames, "t"):
@@ -182,30 +159,25 @@ def near_duplicates(
             small = (v >> K.U64(32)).astype(np.uint32).view(np.int32)
             yield pd.DataFrame({"node": node, "items": [np.unique(x) for x in np.split(small, st[1:])]})
 
-    wanted = placed.select("rep").distinct()
-    points = cut(df.join(wanted, df["id"] == wanted["rep"], "left_semi").select("t").mapInPandas(point_sets, "node long, items array<int>").dropDuplicates(["node"]))
+    wanted = pairs.select(F.explode(F.array("node_a", "node_b")).alias("node")).distinct().join(points.select("node", "rep"), "node").select("rep").distinct()
+    sets = cut(df.join(wanted, df["id"] == wanted["rep"], "left_semi").select("t").mapInPandas(point_sets, "node long, items array<int>"))
+    placed = sets.repartition("node")
     radius = 1 - threshold
 
-    def sim(a: str, b: str):
-        both = F.size(F.array_intersect(a, b))
-        return both / (F.size(a) + F.size(b) - both)  # items are distinct
-
-    at_pivot = placed.where("node <> pivot").select("pivot", "node").join(points, "node").join(points.select(F.col("node").alias("pivot"), F.col("items").alias("_p")), "pivot")
-    region = cut(at_pivot.select("pivot", "node", (1 - sim("items", "_p")).alias("dist")))
-    to_pivot = region.where(F.col("dist") <= radius + 1e-9).select(F.col("pivot").alias("node_a"), F.col("node").alias("node_b"), (1 - F.col("dist")).alias("similarity"))
-    sizes = region.groupBy("pivot").agg(F.count("*").alias("_n")).where("_n > 1")
-    inner = region.join(sizes, "pivot").join(points, "node").withColumn("_k", F.ceil(F.col("_n") / block).cast("int")).withColumn("_i", F.pmod(F.xxhash64("node"), F.col("_k")))
-    every = F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_o")
-    a = inner.select("pivot", "_i", every, "node", "dist", "items").select(F.col("pivot"), F.col("_i").alias("i"), F.col("_o").cast("long").alias("j"), F.col("node").alias("node_a"), F.col("dist").alias("da"), F.col("items").alias("ia"))
-    b = inner.select("pivot", "_i", every, "node", "dist", "items").select(F.col("pivot"), F.col("_o").cast("long").alias("i"), F.col("_i").alias("j"), F.col("node").alias("node_b"), F.col("dist").alias("db"), F.col("items").alias("ib"))
-    # Also the triangle inequality with the empty set as pivot: sizes bound the similarity.
-    na, nb = F.size("ia"), F.size("ib")
-    window = (F.col("node_a") < F.col("node_b")) & (F.abs(F.col("da") - F.col("db")) <= radius + 1e-9) & (na >= nb * (threshold - 1e-9)) & (nb >= na * (threshold - 1e-9))
-    met = a.join(b, ["pivot", "i", "j"]).where(window)
-    inside = met.select("node_a", "node_b", F.when(F.col("da") + F.col("db") <= radius, F.lit(None)).otherwise(sim("ia", "ib")).alias("similarity"))
-    inside = inside.where(F.col("similarity").isNull() | (F.col("similarity") >= threshold - 1e-9))
-    links = to_pivot.unionByName(inside).groupBy("node_a", "node_b").agg(F.max("similarity").alias("similarity"))
-    return links, members
+    def measured(p: DataFrame) -> DataFrame:
+        """(node_a, node_b, similarity) of pairs that reach the threshold or not: both sets at hand."""
+        q = p.join(placed.select(F.col("node").alias("node_a"), F.col("items").alias("ia")), "node_a").join(placed.select(F.col("node").alias("node_b"), F.col("items").alias("ib")), "node_b")
+        q = q.withColumn("both", F.size(F.array_intersect("ia", "ib")))
+        return q.select("node_a", "node_b", (F.col("both") / (F.size("ia") + F.size("ib") - F.col("both"))).alias("similarity"))
+
+    star = cut(measured(pairs.where("pivot = node_a").select("node_a", "node_b")).distinct())
+    at = star.select(F.col("node_a").alias("pivot"), F.col("node_b").alias("node"), (1 - F.col("similarity")).alias("d"))
+    inner = pairs.where("pivot <> node_a")
+    inner = inner.join(at.toDF("pivot", "node_a", "da"), ["pivot", "node_a"], "left").join(at.toDF("pivot", "node_b", "db"), ["pivot", "node_b"], "left")
+    inner = cut(inner.where("da IS NULL OR db IS NULL OR abs(da - db) <= %r" % (radius + 1e-9)).select("node_a", "node_b", F.coalesce(F.col("da") + F.col("db") <= radius, F.lit(False)).alias("sure")))
+    rest = measured(inner.where("NOT sure").select("node_a", "node_b")).distinct()
+    links = star.unionByName(rest).where(F.col("similarity") >= threshold - 1e-9)
+    return links.unionByName(inner.where("sure").select("node_a", "node_b", F.lit(None).cast("double").alias("similarity"))), members
 
 
 def record_pairs(links: DataFrame, members: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _document_links(spark: SparkSession, d: str):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return neardup.near_duplicates(docs, "doc_id", "text", neardup.word_shingles, 0.5, rows=3, bands=28, common_share=0.004)
+    return neardup.near_duplicates(docs, "doc_id", "text", neardup.word_shingles, 0.5, rows=3, bands=32)
 
 
 def _article_links(spark: SparkSession, d: str):

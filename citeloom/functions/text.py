@@ -72,8 +72,9 @@ def edit_share(a: Column, b: Column) -> Column:
 
 
 def edit_distance_or_zero(a: Column, b: Column) -> Column:
-    """Edit distance, but 0 if either side is empty: the scoring rule of reference parsing."""
-    return F.when((a == "") | (b == ""), F.lit(0)).otherwise(F.levenshtein(a, b))
+    """Edit distance over the longer length, but 0 if either side is empty: the scoring rule
+    of reference parsing. Null where one side is null."""
+    return F.when((a == "") | (b == ""), F.lit(0.0)).otherwise(edit_share(a, b))
 
 
 def percent_off(predicted: Column, actual: Column) -> Column:
@@ -81,6 +82,51 @@ def percent_off(predicted: Column, actual: Column) -> Column:
     return F.abs(100.0 * (predicted - actual) / F.when(actual == 0, F.lit(1)).otherwise(actual))
 
 
+def half_even(c: Column, digits: int = 3) -> Column:
+    """Rounded to ``digits``, halves to the even digit."""
+    return F.bround(c, digits)
+
+
+def blank(c: Column) -> Column:
+    """Any value as text; null and NaN become ''."""
+    t = c.cast("string")
+    return F.coalesce(F.nullif(t, F.lit("NaN")), F.lit(""))
+
+
+def display_authors(authors: Column, first: str = "initials", last: str = "lastname") -> Column:
+    """"Initials. Lastname" of every author joined by blanks; missing parts are left out."""
+    return F.array_join(F.transform(authors, lambda a: F.concat_ws(". ", a[first], a[last])), " ")
+
+
+def json_value(c: Column) -> Column:
+    """A value as JSON shows it: dates and times in ISO form, without a fraction where it is
+    zero, other kinds as their text."""
+    return F.regexp_replace(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
+
+
+def valid_contact(required: list[Column], email: Column) -> Column:
+    """Whether all required fields are filled and the address has the form of one."""
+    ok = F.coalesce(email.rlike(r"^[^@]+@[^@]+\.[^@]+"), F.lit(False))
+    for c in required:
+        ok = ok & F.coalesce(F.trim(c) != "", F.lit(False))
+    return ok
+
+
+def datestamped(name: Column, day: Column) -> Column:
+    """``day`` before the first dot of a file name, at its end if it has none."""
+    at = F.instr(name, F.lit("."))
+    return F.when(at > 0, F.concat(F.substring(name, F.lit(1), at - 1), F.lit("_"), day, F.substring(name, at, F.char_length(name)))).otherwise(F.concat_ws("_", name, day))
+
+
+def page_numbers(total: Column, page: Column, size: int = 25) -> Column:
+    """array<int> of the pages a pager shows: first, last and two on either side of ``page``;
+    0 stands for the dots between pages that are not neighbours."""
+    last = F.greatest(F.ceil(total / size).cast("int"), F.lit(1))
+    near = F.filter(F.sequence(F.greatest(page - 2, F.lit(1)), F.greatest(F.least(page + 2, last), F.greatest(page - 2, F.lit(1)))), lambda p: p <= last)
+    shown = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1)), near, F.array(last))))
+    return F.flatten(F.transform(shown, lambda p, i: F.when((i > 0) & (F.element_at(shown, F.greatest(i, F.lit(1))) < p - 1), F.array(F.lit(0), p)).otherwise(F.array(p))))
+
+
 def reference_id(c: Column) -> Column:
     """A reproducible 64-bit id of a reference's text."""
     return F.xxhash64(c)

@@ -58,3 +58,14 @@ def disposition_title(c: Column) -> Column:
         return F.regexp_replace(F.try_element_at(F.transform(hit, lambda x: F.regexp_extract(x, "=(.*)$", 1)), F.lit(1)), '^"|"$', "")
 
     return F.coalesce(of("name"), of("filename"), of("filename*"))
+
+
+def storage_parts(c: Column) -> Column:
+    """struct<bucket, key> of an object's URL; null unless its scheme is s3 or manifests3."""
+    parts = r"^(s3|manifests3)://([^/?#]*)/?(.*)$"
+    return F.when(c.rlike(parts), F.struct(F.regexp_extract(c, parts, 2).alias("bucket"), F.regexp_extract(c, parts, 3).alias("key")))
+
+
+def file_digest(content: Column) -> Column:
+    """MD5 of a file's bytes."""
+    return F.md5(content)

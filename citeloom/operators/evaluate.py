@@ -21,14 +21,39 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
 
 
-def accuracy_by(df: DataFrame, group: str, item: str, actual: str, predicted: str) -> DataFrame:
-    """Per group and for all ('all'): items, items with an actual value, their share, micro F1."""
-    g = F.when(F.grouping(group) == 1, F.lit("all")).otherwise(F.col(group))
+def accuracy_by(df: DataFrame, group: str | list[str], item: str, actual: str, predicted: str) -> DataFrame:
+    """Per group (of one or several columns) and for all ('all' in the first): items, items with
+    an actual value, their share, micro F1. Rows with a null group column are left out."""
+    by = [group] if isinstance(group, str) else group
     has = F.when(F.col(actual).isNotNull() & (F.col(actual) != ""), F.col(item))
-    out = df.where(F.col(group).isNotNull()).rollup(group).agg(
-        F.grouping(group).alias("_g"), F.countDistinct(item).alias("items"), F.countDistinct(has).alias("with_actual"), F.round(F.avg((F.col(actual) == F.col(predicted)).cast("double")), 6).alias("f1")
+    sums = [F.countDistinct(item).alias("items"), F.countDistinct(has).alias("with_actual"), F.round(F.avg((F.col(actual) == F.col(predicted)).cast("double")), 6).alias("f1")]
+    known = df.dropna(subset=by)
+    out = known.groupBy(*by).agg(*sums) if len(by) > 1 else known.rollup(*by).agg(F.grouping(by[0]).alias("_g"), *sums).select(F.when(F.col("_g") == 1, F.lit("all")).otherwise(F.col(by[0])).alias(by[0]), "items", "with_actual", "f1")
+    return out.select(*by, "items", "with_actual", F.round(F.col("with_actual") / F.col("items"), 6).alias("share"), "f1")
+
+
+def accuracy_of_columns(df: DataFrame, pairs: dict[str, tuple[str, str]], lenient: float) -> DataFrame:
+    """(component, n, filled, strict, lenient, distance) for every component {name: (actual,
+    predicted)} and for all of them ('all'): rows, rows with an actual value, shares of equal
+    and of nearly equal values, mean edit share; halves round to the even digit. Null is ''.
+    """
+    from ..functions.text import blank, edit_distance_or_zero, half_even
+
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("component"), blank(F.col(a)).alias("a"), blank(F.col(p)).alias("p")) for k, (a, p) in pairs.items()])).alias("e")
+    x = df.select(each).select("e.*").withColumn("d", edit_distance_or_zero(F.col("a"), F.col("p")))
+    per = x.rollup("component").agg(
+        F.grouping("component").alias("_g"), F.count("*").alias("n"), F.sum((F.col("a") != "").cast("long")).alias("filled"),
+        half_even(F.avg((F.col("a") == F.col("p")).cast("double"))).alias("strict"), half_even(F.avg((F.col("d") < lenient).cast("double"))).alias("lenient"), half_even(F.avg("d")).alias("distance"),
     )
-    return out.select(F.when(F.col("_g") == 1, F.lit("all")).otherwise(F.col(group)).alias(group), "items", "with_actual", F.round(F.col("with_actual") / F.col("items"), 6).alias("share"), "f1")
+    return per.select(F.when(F.col("_g") == 1, "all").otherwise(F.col("component")).alias("component"), "n", "filled", "strict", "lenient", "distance")
+
+
+def binary_scores(df: DataFrame, positive: str, predicted: str) -> DataFrame:
+    """One row: recall of the negative class, precision of the positive class, micro F1."""
+    s = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    a, p = F.col(positive), F.col(predicted)
+    d = lambda x, y: F.bround(F.coalesce(F.try_divide(x, y), F.lit(0.0)), 3)
+    return df.agg(d(s(~a & ~p), s(~a)).alias("negative_recall"), d(s(a & p), s(p)).alias("positive_precision"), d(s(a == p), F.count("*")).alias("f1"))
 
 
 def pair_scores(gold: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:

@@ -67,6 +67,38 @@ def keyword_in_context(lines: DataFrame, keywords: list[str], context: int = 2)
     return keyword_hits(lines, keywords).join(around, ["doc", "line_no"])
 
 
+def lines_of_size(lines: DataFrame, size: int) -> DataFrame:
+    return lines.where(F.col("size") == size)
+
+
+def bold_lines(lines: DataFrame) -> DataFrame:
+    return lines.where("bold")
+
+
+def keyword_by_page(lines: DataFrame, keyword: str, context: int = 0) -> DataFrame:
+    """(doc, page, line_no, context): lines that hold ``keyword`` as a word, its case kept.
+    Without context every hit; with it only the last hit of a page, with the lines of that
+    page around it."""
+    word = rf"(^|[^\p{{L}}\p{{N}}_])\Q{keyword}\E([^\p{{L}}\p{{N}}_]|$)"
+    if context == 0:
+        return lines.where(F.col("text").contains(keyword) & F.regexp_like("text", F.lit(word))).select("doc", "page", "line_no", F.col("text").alias("context"))
+    w = Window.partitionBy("doc", "page").orderBy("line_no").rowsBetween(-context, context)
+    x = lines.select("doc", "page", "line_no", "text", F.array_join(F.collect_list(F.coalesce("text", F.lit(""))).over(w), "\n").alias("context")).where(F.regexp_like("text", F.lit(word)))
+    return x.groupBy("doc", "page").agg(F.max_by(F.struct("line_no", "context"), "line_no").alias("_l")).select("doc", "page", "_l.line_no", "_l.context")
+
+
+def keyword_dict(hits: DataFrame) -> DataFrame:
+    """(doc, contexts map<keyword, array<context>>) of the rows of keyword_in_context, in line order."""
+    per = hits.groupBy("doc", "keyword").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "context"))), lambda e: e["context"]).alias("_c"))
+    return per.groupBy("doc").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("keyword", "_c")))).alias("contexts"))
+
+
+def full_text(lines: DataFrame) -> DataFrame:
+    """(doc, text): every line of a document joined by line feeds."""
+    g = lines.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("l"))
+    return g.select("doc", F.array_join(F.transform("l", lambda e: F.coalesce(e["text"], F.lit(""))), "\n").alias("text"))
+
+
 def sections(lines: DataFrame, keyword: str) -> DataFrame:
     """(doc, section): the text from each heading that holds ``keyword`` to the next heading.
 

@@ -35,3 +35,20 @@ def reload(old: DataFrame, new: DataFrame, organisation: str, column: str = "org
     """Rows of one organisation replaced by new ones: doing it twice changes nothing."""
     keep = F.col(column).isNull() | (F.col(column) != organisation)
     return old.where(keep).unionByName(new.where(F.col(column) == organisation))
+
+
+def dimension_ids(known: DataFrame, names: DataFrame, name: str, number: str) -> DataFrame:
+    """(name, number) for all names: known ones keep their number, new ones follow the greatest
+    in order of name. A dimension is small by nature: new names are numbered in one task."""
+    from pyspark.sql import Window
+
+    new = names.select(name).where(F.col(name).isNotNull()).distinct().join(known.select(name), name, "left_anti")
+    top = known.agg(F.coalesce(F.max(number), F.lit(0)).alias("_top"))
+    rank = F.row_number().over(Window.orderBy(name))
+    new = new.withColumn("_r", rank).crossJoin(F.broadcast(top)).select(name, (F.col("_top") + F.col("_r")).cast("long").alias(number))
+    return known.select(name, F.col(number).cast("long").alias(number)).unionByName(new)
+
+
+def delete_organisation_of_policies(citations: DataFrame, organisation: str, policies: str = "policies") -> DataFrame:
+    """Citations without those of which some policy belongs to ``organisation``."""
+    return citations.where(~F.coalesce(F.exists(policies, lambda p: p["organisation"] == organisation), F.lit(False)))

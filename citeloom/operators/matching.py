@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, words
+from ..session import cut
 
 
 def require_titles(pubs: DataFrame, title: str) -> None:
@@ -19,7 +20,7 @@ def require_titles(pubs: DataFrame, title: str) -> None:
         raise ValueError("the corpus has no titles")
 
 
-def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame, pub_id: str, title: str, least: int = 40) -> DataFrame:
+def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame, pub_id: str, title: str, least: int = 40, most_words: int = 1_000_000) -> DataFrame:
     """(doc_id, pub_id, title): cleaned titles of at least ``least`` characters that stand in
     the cleaned text, not bounded by words. Null texts and titles match nothing; equal
     titles of different publications all match; rows delivered twice count once."""
@@ -32,10 +33,16 @@ def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame,
     freq = each.groupBy("w").agg(F.count("*").alias("n"))
     anchors = each.join(freq, "w").groupBy("p", "c").agg(F.min_by("w", F.struct("n", -F.length("w"), "w")).alias("w"))
     # Only ids meet by word; a text moves once per candidate, not once per word.
+    anchors = cut(anchors)
+    asked = anchors.select("w").distinct()
+    # Words that no title is anchored to need not move: at most a million words, checked, go to
+    # every task; beyond that the join itself drops them after the exchange.
     tokens = d.select("d", F.explode(F.array_distinct(F.split("t", " "))).alias("w")).where("w <> ''")
+    if asked.count() <= most_words:
+        tokens = tokens.join(F.broadcast(asked), "w", "left_semi")
     found = tokens.join(anchors, "w").select("d", "p", "c").distinct().join(d, "d").where(F.col("t").contains(F.col("c"))).select("d", "p", "c")
     # Titles of one or two words are looked up by their first characters at every place.
-    short = p.where(F.size("w") == 0).select("p", "c", F.substring("c", 1, least).alias("w"))
+    short = cut(p.where(F.size("w") == 0).select("p", "c", F.substring("c", 1, least).alias("w")))
     if not short.isEmpty():
         places = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("t") - least + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, F.lit(least))), lambda x: F.char_length(x) == least)
         found = found.union(d.select("d", "t", F.explode(F.array_distinct(places)).alias("w")).join(short, "w").where(F.col("t").contains(F.col("c"))).select("d", "p", "c"))
@@ -52,7 +59,9 @@ def tfidf_matches(refs: DataFrame, ref_id: str, ref_title: str, pubs: DataFrame,
 
     Words of two or more characters; weight tf * (ln((1 + N) / (1 + df)) + 1); words outside the
     corpus are dropped before normalising, so a title may match a part of it fully.
+    ValueError for a corpus without titles.
     """
+    require_titles(pubs, title)
     p = pubs.where(F.col(title).isNotNull() & (F.col(title) != "")).select(F.col(pub_id).alias("p"), words(F.col(title)).alias("toks"))
     p = p.groupBy("p").agg(F.max("toks").alias("toks"))
     q = refs.where(F.col(ref_title).isNotNull() & (F.char_length(ref_title) >= max(min_chars, 1))).select(F.col(ref_id).alias("q"), words(F.col(ref_title)).alias("toks"))
@@ -70,7 +79,7 @@ def tfidf_matches(refs: DataFrame, ref_id: str, ref_title: str, pubs: DataFrame,
 
     pv, qv = vectors(pw, "p"), vectors(qw, "q")
     # Both sides list their words from the rarest on, in one order for all. What follows a
-    # prefix has a norm below the threshold, so it cannot reach it alone: the rarest word that
+    # prefix has a norm below the threshold, so it cannot make a match alone: the rarest word that
     # a match shares stands in both prefixes.
     tail = lambda i: F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda a, e: a + e["w"] * e["w"])
     prefix = F.filter(F.transform("v", lambda e, i: F.when(tail(i) >= least * least - 1e-5, e["t"])), lambda x: x.isNotNull())
@@ -84,7 +93,9 @@ def tfidf_matches(refs: DataFrame, ref_id: str, ref_title: str, pubs: DataFrame,
 
 def bm25_matches(refs: DataFrame, ref_id: str, ref_title: str, pubs: DataFrame, pub_id: str, title: str, share: float = 0.8, least: float = 50.0, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(ref_id, pub_id, score): best publication by BM25 above ``least`` (strictly) among those
-    with at least floor(share * n) of the title's n words, repeats counted; ties by id."""
+    with at least floor(share * n) of the title's n words, repeats counted; ties by id.
+    ValueError for a corpus without titles."""
+    require_titles(pubs, title)
     tok = lambda c: words(c, r"[\p{L}\p{N}_]+")
     p = pubs.where(F.col(title).isNotNull()).select(F.col(pub_id).alias("p"), tok(F.col(title)).alias("toks")).groupBy("p").agg(F.max("toks").alias("toks")).where(F.size("toks") > 0)
     q = refs.where(F.col(ref_title).isNotNull()).select(F.col(ref_id).alias("q"), tok(F.col(ref_title)).alias("toks")).groupBy("q").agg(F.max("toks").alias("toks")).where(F.size("toks") > 0)

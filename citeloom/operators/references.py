@@ -34,9 +34,9 @@ def section_rows(docs: DataFrame, doc: str, sections: str) -> DataFrame:
     return x.select("doc", "keyword", F.explode("_s").alias("section")).where("section <> ''")
 
 
-def split_references(sections: DataFrame, doc: str, section: str, splitter: Splitter = rule_splitter, most: int = 1_000_000) -> DataFrame:
-    """(doc, position, reference, attributes) of the first ``most`` characters of each section;
-    the bound is the splitter model's own limit, None lifts it."""
+def split_references(sections: DataFrame, doc: str, section: str, splitter: Splitter = rule_splitter, most: int | None = None) -> DataFrame:
+    """(doc, position, reference, attributes) of whole sections; a splitter model with a limit of
+    its own takes the first ``most`` characters of each."""
     text = F.col(section) if most is None else F.substring(section, 1, most)
     x = sections.select(F.col(doc).alias("doc"), F.posexplode(splitter(text)).alias("position", "_r"))
     return x.select("doc", "position", "_r.reference", "_r.attributes")
@@ -63,3 +63,19 @@ def normalise_documents(df: DataFrame) -> DataFrame:
         "file_hash", "keywords", "text", "sections", s["url"].alias("url"), s["source_page"].alias("source_page"), first_title(s["title"], F.col("title_candidates"), s["page_headings"]).alias("title"),
         s["authors"].alias("authors"), s["year"].alias("year"), s["subjects"].alias("subjects"), F.col("pdf_metadata.created").alias("created"), s["types"].alias("types"),
     )
+
+
+def without_sections(df: DataFrame, metadata: str = "metadata") -> DataFrame:
+    """Document metadata as references carry it: without its sections."""
+    return df.withColumn(metadata, F.col(metadata).dropFields("sections"))
+
+
+def text_documents(df: DataFrame, fields: list[str]) -> DataFrame:
+    """(file_hash, text, fields) of documents with a text; what the PDF says about itself
+    (pdf_metadata) goes before what its source says (source_metadata)."""
+
+    def merged(f: str) -> Column:
+        have = [s for s in ("pdf_metadata", "source_metadata") if f in df.schema[s].dataType.fieldNames()]
+        return F.coalesce(*[F.nullif(F.col(f"{s}.{f}"), F.lit("")) for s in have], F.lit(None)).alias(f)
+
+    return df.where(F.col("text") != "").select("file_hash", "text", *[merged(f) for f in fields])

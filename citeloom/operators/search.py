@@ -46,6 +46,26 @@ def ranked(df: DataFrame, vector: Column, terms: str | None) -> DataFrame:
     return df.withColumn("_v", vector).where(fulltext.matches(F.col("_v"), q)).withColumn("rank", F.round(fulltext.cover_rank(F.col("_v"), q), 6)).drop("_v")
 
 
+def cited(df: DataFrame, citations: DataFrame, key: str) -> DataFrame:
+    """Rows joined with their citations; publications without a citing policy drop out, so a
+    page, its count and its order agree."""
+    return df.join(citations, key).where("size(policies) > 0").withColumn("policies_count", F.size("policies"))
+
+
+def respond(hits: DataFrame, sorts: dict[str, str], key: str, terms: str | None, sort: str | None = None, order: str | None = None, size: int = 25, page: int = 1, fields: list[str] | None = None) -> dict:
+    """The response of a search: status, data (one page), count (of all matches), terms; for
+    terms that are missing or an unknown sort or order: status and message. ``size`` bounds
+    what the driver holds."""
+    if not (terms or "").strip():
+        return {"status": "error", "message": "No search terms"}
+    try:
+        wanted = Page.of(sorts, sort, order, size, page)
+    except ValueError as e:
+        return {"status": "error", "message": str(e)}
+    rows = wanted.take(hits, key).select(*(fields or hits.columns)).collect()
+    return {"status": "success", "data": [r.asDict(True) for r in rows], "count": hits.agg(F.count(key)).first()[0], "terms": terms}
+
+
 def with_policies(page: DataFrame, key: str, policies: DataFrame, fields: list[str], nested: str = "policies") -> DataFrame:
     """Policies of each row's array ``policies`` as an array of structs; null where none is known.
     ``policies`` has a column policy_id; rows keep all other columns."""

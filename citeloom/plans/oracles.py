@@ -33,7 +33,6 @@ LINES = "ln AS (SELECT doc_id AS doc, unnest(string_split(text, chr(10))) AS tex
 HITS = """hit AS (SELECT doc, keyword, line_no, (length(lower(text)) - length(replace(lower(text), keyword, ''))) // length(keyword) AS hits FROM lines, (VALUES ('review'), ('harvest'), ('water'), ('records')) k(keyword)
 WHERE contains(lower(text), keyword) AND regexp_matches(text, '(?i)(^|[^\\p{L}\\p{N}_])' || keyword || '([^\\p{L}\\p{N}_]|$)'))"""
 SEC_LINES = f"{SECTIONS}, sl AS (SELECT section_id, unnest(string_split(sections, chr(10))) AS text, generate_subscripts(string_split(sections, chr(10)), 1) - 1 AS position FROM secs WHERE sections IS NOT NULL)"
-LABELLED = "lab AS (SELECT doc_id, min(subject) AS actual, max(subject) AS predicted FROM subject_labels WHERE subject IS NOT NULL GROUP BY doc_id), j AS (SELECT doc_id, source, actual, predicted FROM documents JOIN lab USING (doc_id))"
 CITED = """cited AS (SELECT * FROM (SELECT DISTINCT reference_id, organisation, title AS predicted, volume, pagination, pub_year AS ref_year FROM structured_refs) r
 JOIN (SELECT DISTINCT uber_id, title AS actual, journal_volume AS volume, page_info AS pagination, pub_year FROM publications) p USING (volume, pagination))"""
 SIMS = CITED + f""", s AS (SELECT reference_id, uber_id, length(predicted) AS chars, round(1 - levenshtein({_clean('predicted')}, {_clean('actual')}) / greatest(length({_clean('predicted')}), length({_clean('actual')}), 1), 6) AS sim,
@@ -91,12 +90,8 @@ SELECT uber_id, title, policies_count, policies FROM h LEFT JOIN n USING (uber_i
     "keyword_lines": f"WITH {LINES}, {HITS} SELECT doc, keyword, line_no FROM hit",
     "font_stats": f"WITH {LINES}, m AS (SELECT doc, ceil(sum(size) / greatest(count(*), 1))::BIGINT AS mean_size, array_to_string(list_sort(list(DISTINCT size)), ',') AS sizes FROM lines GROUP BY doc) SELECT doc, mean_size, coalesce(floor(avg(size) FILTER (size > mean_size)), 0)::BIGINT AS upper_mean_size, any_value(sizes) AS sizes FROM lines JOIN m USING (doc) GROUP BY doc, mean_size",
     "title_candidates": f"WITH {LINES}, r AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY size DESC, line_no) AS rank, text AS title FROM lines) SELECT * FROM r WHERE rank <= 3",
-    "document_full_text": "SELECT doc_id AS doc, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL",
-    "split_references": f"WITH {SEC_LINES} SELECT section_id, position, text AS reference FROM sl WHERE length(text) >= 20",
-    "stored_references": "WITH r AS (SELECT DISTINCT reference_id, title, authors, pub_year FROM structured_refs WHERE title IS NOT NULL OR authors IS NOT NULL OR pub_year IS NOT NULL) SELECT reference_id, substring(title, 1, 1024) AS title, substring(authors, 1, 256) AS authors, CASE WHEN regexp_matches(pub_year, '^\\s*[+-]?\\d+\\s*$') THEN try_cast(pub_year AS INTEGER)::VARCHAR END AS pub_year, CASE WHEN length(pub_year) > 0 THEN substring(pub_year, 1, 4) END AS year_prefix FROM r",
     "normalise_titles": "SELECT DISTINCT article_id, coalesce(nullif(title, ''), page_headings[1]) AS title, page_headings[1] AS heading FROM (SELECT DISTINCT article_id, title, page_title, page_headings FROM articles)",
     "publication_authors": "SELECT uber_id, array_to_string(list_transform(authors, lambda a: coalesce(a.lastname, 'Unknown') || ' ' || coalesce(a.initials, '?')), ', ') AS authors FROM (SELECT DISTINCT uber_id, authors FROM publications)",
-    "display_rows": f"SELECT article_id, CASE WHEN title IS NULL THEN 'Title unavailable' WHEN length(title) > 140 THEN {_case('substring(title, 1, 140)')} || '...' ELSE {_case('title')} END AS title, coalesce(pub_year, 'Unknown') AS year, 'Showing 126 - 130 of 130' AS shown FROM (SELECT DISTINCT article_id, title, pub_year, url FROM articles WHERE url IS NOT NULL)",
     "pdf_url_valid": f"SELECT article_id, {_pdf('url')} AS url_is_pdf, {_pdf('source_page')} AS page_is_pdf, string_split(url, '/')[-1] AS filename FROM (SELECT DISTINCT article_id, url, source_page FROM articles)",
     "allowed_hosts": f"WITH h AS (SELECT lower(regexp_extract(url, {URL}, 2)) AS host FROM (SELECT DISTINCT article_id, url FROM articles)) SELECT host, count(*) AS n FROM h WHERE coalesce(host, '') NOT IN ('docs.kretimport.example', 'docs.haertkramia.example') GROUP BY host",
     "dedupe_urls": "SELECT DISTINCT regexp_extract(source_page, '^([^?#]*)', 1) AS url FROM articles WHERE source_page IS NOT NULL",
@@ -106,9 +101,6 @@ SELECT uber_id, title, policies_count, policies FROM h LEFT JOIN n USING (uber_i
     "rate_limit_trailing": "WITH c AS (SELECT event_id, user_id, event_type, count(*) OVER (PARTITION BY user_id, event_type ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS calls FROM events) SELECT * FROM c WHERE calls >= 2",
     "rate_limit_windowed": "SELECT (epoch_us(ts) // 3600000000 * 3600)::BIGINT AS window_start, user_id, event_type, count(*) AS calls FROM events WHERE ts IS NOT NULL GROUP BY ALL",
     "json_roundtrip": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, '{\"k\":' || json_extract(props, '$.k')::BIGINT || '}' AS props FROM events",
-    "eval_confusion": f"WITH {LABELLED} SELECT actual, predicted, count(*) AS n FROM j GROUP BY ALL",
-    "eval_report": f"WITH {LABELLED}, l AS (SELECT actual AS label FROM j UNION SELECT predicted FROM j) SELECT label, round(coalesce((SELECT count(*) FROM j WHERE actual = label AND predicted = label) / nullif((SELECT count(*) FROM j WHERE predicted = label), 0), 0), 6) AS precision, round(coalesce((SELECT count(*) FROM j WHERE actual = label AND predicted = label) / nullif((SELECT count(*) FROM j WHERE actual = label), 0), 0), 6) AS recall, round(2.0::DOUBLE * (SELECT count(*) FROM j WHERE actual = label AND predicted = label) / ((SELECT count(*) FROM j WHERE actual = label) + (SELECT count(*) FROM j WHERE predicted = label)), 6) AS f1, (SELECT count(*) FROM j WHERE actual = label) AS support FROM l",
-    "eval_by_source": f"WITH {LABELLED} SELECT CASE WHEN grouping(source) = 1 THEN 'all' ELSE source END AS source, count(DISTINCT doc_id) AS items, count(DISTINCT CASE WHEN actual <> '' THEN doc_id END) AS with_actual, round(count(DISTINCT CASE WHEN actual <> '' THEN doc_id END) / count(DISTINCT doc_id), 6) AS share, round(avg((actual = predicted)::INT), 6) AS f1 FROM j WHERE source IS NOT NULL GROUP BY ROLLUP (source)",
     "eval_levenshtein": f"WITH {CITED}, x AS (SELECT organisation, levenshtein({_clean('predicted')}, {_clean('actual')}) / greatest(length({_clean('predicted')}), length({_clean('actual')}), 1) AS share FROM cited WHERE predicted IS NOT NULL AND actual IS NOT NULL) SELECT organisation, count(*) AS n, round(avg(share), 6) AS mean, round(avg((share = 0)::INT), 6) AS strict, round(avg((share < 0.2)::INT), 6) AS lenient FROM x GROUP BY organisation",
     "eval_split_counts": f"WITH {SEC_LINES}, n AS (SELECT section_id, count(*) AS predicted FROM sl WHERE regexp_matches(text, '^[0-9]+\\. ') GROUP BY section_id), a AS (SELECT document_id AS doc_id, count(DISTINCT reference_id) AS actual FROM structured_refs GROUP BY document_id), x AS (SELECT organisation, abs(100.0::DOUBLE * (predicted - actual) / CASE WHEN actual = 0 THEN 1 ELSE actual END) AS off FROM (SELECT DISTINCT section_id, doc_id, organisation FROM pdf_sections) JOIN n USING (section_id) JOIN a USING (doc_id)) SELECT organisation, round(median(off), 6) AS median_off, round(avg((off <= 50)::INT), 6) AS within_half FROM x GROUP BY organisation",
     "similarity_percentiles": f"WITH {SIMS} SELECT positive, round(quantile_cont(sim, 0.01), 6) AS p01, round(quantile_cont(sim, 0.05), 6) AS p05, round(quantile_cont(sim, 0.95), 6) AS p95, round(quantile_cont(sim, 0.99), 6) AS p99 FROM s GROUP BY positive",

@@ -25,11 +25,15 @@ def query(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
+    from . import stage_queries  # noqa: F401  registers its own
+
     return dict(REGISTRY)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    from .stage_oracles import STAGE_SQL
+
+    return SQL | STAGE_SQL
 
 
 def _articles(s: SparkSession, d: str, *cols: str) -> DataFrame:
@@ -200,25 +204,6 @@ def title_candidates(s: SparkSession, d: str) -> DataFrame:
     return layout.title_candidates(_lines(s, d)).select("doc", F.col("rank").cast("long").alias("rank"), F.col("text").alias("title"))
 
 
-@query
-def document_full_text(s: SparkSession, d: str) -> DataFrame:
-    """Lines joined again in order: the text of the document, as a digest."""
-    g = _lines(s, d).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("l"))
-    return g.select("doc", F.md5(F.array_join(F.transform("l", lambda e: e["text"]), "\n")).alias("text_md5"))
-
-
-@query
-def split_references(s: SparkSession, d: str) -> DataFrame:
-    x = layout.text_lines(_sections(s, d), "section_id", "sections").where(F.char_length("text") >= 20)
-    return x.select(F.col("doc").alias("section_id"), F.col("line_no").cast("long").alias("position"), F.col("text").alias("reference"))
-
-
-@query
-def stored_references(s: SparkSession, d: str) -> DataFrame:
-    r = table(s, d, "structured_refs").select("reference_id", "title", "authors", "pub_year").distinct().where("title IS NOT NULL OR authors IS NOT NULL OR pub_year IS NOT NULL")
-    return r.select("reference_id", F.substring("title", 1, 1024).alias("title"), F.substring("authors", 1, 256).alias("authors"), F.expr("try_cast(pub_year AS INT)").cast("string").alias("pub_year"), text.year_prefix(F.col("pub_year")).alias("year_prefix"))
-
-
 @query
 def normalise_titles(s: SparkSession, d: str) -> DataFrame:
     a = _articles(s, d, "title", "page_title", "page_headings")
@@ -231,12 +216,6 @@ def publication_authors(s: SparkSession, d: str) -> DataFrame:
     return p.select("uber_id", text.author_string(F.col("authors")).alias("authors"))
 
 
-@query
-def display_rows(s: SparkSession, d: str) -> DataFrame:
-    a = _articles(s, d, "title", "pub_year", "url").where("url IS NOT NULL")
-    return a.select("article_id", text.display_title(F.col("title")).alias("title"), F.coalesce("pub_year", F.lit("Unknown")).alias("year"), text.pages_shown(F.lit(130), F.lit(6)).alias("shown"))
-
-
 @query
 def pdf_url_valid(s: SparkSession, d: str) -> DataFrame:
     a = _articles(s, d, "url", "source_page")
@@ -294,27 +273,6 @@ def json_roundtrip(s: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.col("p.k").alias("k"), F.to_json("p").alias("props"))
 
 
-def _labelled(s: SparkSession, d: str) -> DataFrame:
-    """Documents with their smallest and greatest subject label as actual and predicted."""
-    lab = table(s, d, "subject_labels").where("subject IS NOT NULL").groupBy("doc_id").agg(F.min("subject").alias("actual"), F.max("subject").alias("predicted"))
-    return table(s, d, "documents").select("doc_id", "source").join(lab, "doc_id")
-
-
-@query
-def eval_confusion(s: SparkSession, d: str) -> DataFrame:
-    return evaluate.confusion(_labelled(s, d), "actual", "predicted")
-
-
-@query
-def eval_report(s: SparkSession, d: str) -> DataFrame:
-    return evaluate.class_report(_labelled(s, d), "actual", "predicted")
-
-
-@query
-def eval_by_source(s: SparkSession, d: str) -> DataFrame:
-    return evaluate.accuracy_by(_labelled(s, d), "source", "doc_id", "actual", "predicted")
-
-
 def _cited(s: SparkSession, d: str) -> DataFrame:
     """References and publications with one volume and pages, and their titles."""
     r = table(s, d, "structured_refs").select("reference_id", "organisation", F.col("title").alias("predicted"), "volume", "pagination", F.col("pub_year").alias("ref_year")).distinct()

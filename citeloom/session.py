@@ -66,13 +66,23 @@ def one_delivery(df: DataFrame, key: str, at: str | None = None) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The shared folder named by spark.checkpoint.dir. Only a local master may do without: its
+    executors share the driver's temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _LOCAL.setdefault("root", f"file://{tempfile.mkdtemp(prefix='citeloom-')}")
     return root
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder name in the shared folder, removed when the driver's Python ends."""
+    path = f"{checkpoint_root(spark)}/citeloom/{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 _LOCAL: dict[str, str] = {}
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
@@ -84,9 +94,8 @@ def cut(df: DataFrame, *partition_hint: str) -> DataFrame:
     only its own tasks. Files are removed when the driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/citeloom/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

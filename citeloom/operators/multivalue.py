@@ -57,8 +57,9 @@ def unpacked(col: Column, names: bool) -> Column:
 
 def _people(part: Column) -> Column:
     """Names in a piece without strong delimiters: split at commas and "and", then fold."""
-    # "and" within "Health and Welfare": the word after it is no name of its own.
-    tied = F.regexp_replace(part, r"(?i)\s+(and|&)\s+(?=welfare\b)", f"{EDGE}$1{EDGE}")
+    # "and" within the name of a body, as in "Ministry of X and Y" or "Health and Welfare": the
+    # word after it is no name of its own.
+    tied = F.regexp_replace(part, r"(?i)\s+(and|&)\s+(?:(?=welfare\b)|(?<=\bof [^\s,]{1,40}\s{1,4}(?:and|&)\s{1,4})(?=[^\s,]+(?:\s*$|\s+of\b(?!.*\bof\b))))", f"{EDGE}$1{EDGE}")
     bits = F.split(tied, r",\s*(?:and|&)\s+|,|\s+(?:and|&)\s+")
     bits = F.transform(bits, lambda x: F.trim(F.regexp_replace(x, f"{EDGE}(and|AND|And|&){EDGE}", " $1 ")))
     surname_only = lambda x: x.rlike(rf"(?i)^(?:{PARTICLES}\s+)*[^\s.]{{2,}}$") & ~x.rlike(r"^\p{Lu}{1,3}$")

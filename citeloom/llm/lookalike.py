@@ -75,8 +75,10 @@ def rewrite_rules(counts: dict[str, int]) -> dict[str, str]:
     """{pattern: representative} for an alphabet with its counts; only patterns that change.
 
     A class is written as its most frequent single character, ties to the lowest code
-    point; the class of the empty string is removed from the text. A class without a
-    single-character member that occurs (a ligature) is written as its longest member.
+    point; the class of the empty string is removed from the text. A class with members of
+    several characters (a ligature, a letter and its accent written apart) is written as the
+    longest of those without a combining accent, if any: single characters are counted,
+    sequences are not.
     """
     cls = Classes()
     todo, seen = sorted(counts), set()
@@ -157,7 +159,7 @@ def rewriter(rules: dict[str, str]):
     auto.make_automaton()
 
     def run(text: str) -> str:
-        for _ in range(8):
+        for _ in range(1000):
             out, at = [], 0
             for end, k in auto.iter_long(text):
                 start = end - len(k) + 1
@@ -166,7 +168,7 @@ def rewriter(rules: dict[str, str]):
             if not out:
                 return text
             text = "".join(out) + text[at:]
-        return text
+        raise RuntimeError("rewriting did not settle")
 
     return run
 
@@ -207,16 +209,27 @@ def same_look_pairs(df: DataFrame, id_col: str, text_col: str, form: Consistent)
     """(id_a, id_b): texts with one consistent form but different characters.
 
     Null and blank texts match nothing. Rows with one id count once (any of its texts).
-    Only 64-bit digests move; forms with a single spelling are dropped before the join, so
-    a text repeated in a third of the rows costs one aggregate.
+    Only 64-bit digests move. Distinct spellings meet first; records join the pairs of their
+    spelling, so a title in a third of the rows meets the odd spellings of it, not itself.
     """
-    t = df.where(F.col(id_col).isNotNull() & (F.trim(text_col) != "")).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    t = t.select("id", F.xxhash64("t").alias("raw"), F.xxhash64(form.column(F.col("t"))).alias("form")).groupBy("id").agg(F.min(F.struct("form", "raw")).alias("x")).select("id", "x.form", "x.raw")
     from ..session import cut
 
+    t = df.where(F.col(id_col).isNotNull() & (F.trim(text_col) != "")).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    t = t.select("id", F.xxhash64("t").alias("raw"), F.xxhash64(form.column(F.col("t"))).alias("form")).groupBy("id").agg(F.min(F.struct("form", "raw")).alias("x")).select("id", "x.form", "x.raw")
     t = cut(t)
     mixed = t.groupBy("form").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("form")
-    t = t.join(mixed, "form")
-    # Spellings meet first, then the records of each spelling: nothing is emitted for equal texts.
-    a, b = t.alias("a"), t.alias("b")
-    return a.join(b, F.expr("a.form = b.form AND a.raw <> b.raw AND a.id < b.id")).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
+    kinds = cut(t.groupBy("form", "raw").agg(F.count("*").alias("n")).join(mixed, "form").select("form", "raw"))
+    two = kinds.toDF("form", "ra").join(kinds.toDF("form", "rb"), "form").where("ra < rb").select("ra", "rb")
+    own = t.join(kinds.select("raw").distinct(), "raw").select("raw", "id")
+    met = two.join(own.toDF("ra", "x"), "ra").join(own.toDF("rb", "y"), "rb").where("x <> y")
+    return met.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+
+
+def same_look_classes(df: DataFrame, id_col: str, text_col: str, form: Consistent) -> DataFrame:
+    """(id, class_id, spellings): one row per record that looks like a differently typed one;
+    class_id is the least id of its look, spellings the number of different character
+    sequences in the class. The form of the pairs that grows with the records only."""
+    t = df.where(F.col(id_col).isNotNull() & (F.trim(text_col) != "")).groupBy(F.col(id_col).alias("id")).agg(F.min(text_col).alias("t"))
+    t = t.select("id", F.xxhash64("t").alias("raw"), F.xxhash64(form.column(F.col("t"))).alias("form"))
+    per = t.groupBy("form", "raw").agg(F.min("id").alias("least")).groupBy("form").agg(F.min("least").alias("class_id"), F.count("*").alias("spellings")).where("spellings > 1")
+    return t.join(per, "form").select("id", "class_id", "spellings")

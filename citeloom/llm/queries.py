@@ -58,6 +58,15 @@ def p3_titles(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(r).withColumn("consistent_title", form.column(F.col("title")))
 
 
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    arts = table(spark, d, "articles").select("article_id", "title")
+    refs = table(spark, d, "structured_refs").select("reference_id", "title")
+    form = lookalike.fit((arts, "title"), (refs, "title"))
+    a = lookalike.same_look_classes(arts, "article_id", "title", form).withColumn("table_name", F.lit("articles"))
+    r = lookalike.same_look_classes(refs, "reference_id", "title", form).withColumn("table_name", F.lit("structured_refs"))
+    return a.unionByName(r).select("table_name", F.col("id").alias("record_id"), "class_id", "spellings")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = names.same_entity_pairs(names.entities(table(spark, d, "contributors")))
     return pairs.toDF("contributor_id_a", "contributor_id_b")

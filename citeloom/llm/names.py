@@ -12,11 +12,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, one_delivery
@@ -247,98 +246,118 @@ def pivots(names: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.select(F.col("a").alias("name"), F.col("b").alias("to"), "na", F.col("nb").alias("nt"), "d").union(pairs.select("b", "a", "nb", "na", "d"))
     up = both.where("nt > na OR (nt = na AND to < name)").groupBy("name").agg(F.max_by("to", F.struct("nt", -F.col("d"), "to")).alias("root"))
     step = cut(names.select("name").join(up, "name", "left").select("name", F.coalesce("root", "name").alias("root")))
-    for _ in range(3):  # counts rise along the way, so a few steps reach the top
+    for _ in range(40):  # every round doubles the steps taken, and counts rise along the way
         nxt = step.select(F.col("name").alias("root"), F.col("root").alias("top"))
-        step = step.join(nxt, "root").select("name", F.col("top").alias("root"))
-    return step
+        far = cut(step.join(nxt, "root").select("name", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")))
+        step = far.drop("moved")
+        if far.where("moved").isEmpty():
+            return step
+    raise RuntimeError("chains of names did not settle")
 
 
 def split_group(f: pd.DataFrame) -> list[int]:
-    """Entity number of every profile of one surname group: initials, forenames and places tell
-    persons apart; what a profile leaves open goes to the best-supported person it fits."""
+    """Person number of every profile of one surname and first initial. Rows: name, initials,
+    forename, place (one spelling per place), n. Profiles with a place make the persons, one
+    per place and forename; a profile without goes to the best-supported person it fits."""
     n = f["n"].tolist()
     ini, fore, place, name = (f[c].tolist() for c in ("initials", "forename", "place", "name"))
-    count = Counter()
-    for p, k in zip(place, n):
-        count[p] += k
-    canon: dict[str, str] = {}
-    for p in sorted(count, key=lambda p: (-count[p], p)):
-        canon[p] = next((q for q in dict.fromkeys(canon.values()) if p and q and edits(p, q, 2) <= (2 if len(p) > 6 else 1)), p)
     people: list[dict] = []
+    at_place: dict[str, list[dict]] = {}
+    by_name: dict[str, list[dict]] = {}
     who = [-1] * len(n)
 
     def fits(e: dict, i: int) -> bool:
-        if ini[i] and e["ini"] and ini[i][0] != next(iter(e["ini"]))[0]:
-            return False
-        if fore[i] and e["fore"] and not any(edits(fore[i], x, 2) <= 2 for x in e["fore"]):
-            return False
-        return True
+        return not (fore[i] and e["fore"] and not any(edits(fore[i], x, 2) <= 2 for x in e["fore"]))
 
     def add(e: dict, i: int) -> None:
         who[i] = e["no"]
         e["n"] += n[i]
-        e["names"].add(name[i])
-        if ini[i]:
-            e["ini"].add(ini[i])
+        if name[i] not in e["names"]:
+            e["names"].add(name[i])
+            by_name.setdefault(name[i], []).append(e)
+        e["ini"].add(ini[i])
         if fore[i]:
             e["fore"].add(fore[i])
 
     def new(i: int) -> dict:
-        e = {"no": len(people), "n": 0, "ini": set(), "fore": set(), "names": set(), "place": canon[place[i]]}
+        e = {"no": len(people), "n": 0, "ini": set(), "fore": set(), "names": set(), "place": place[i]}
         people.append(e)
+        at_place.setdefault(place[i], []).append(e)
         return e
 
-    order = sorted(range(len(n)), key=lambda i: (not (place[i] and ini[i]), not (place[i] or ini[i]), not ini[i], -n[i], -len(ini[i]), name[i], ini[i], place[i]))
-    for i in order:
-        p = canon[place[i]]
-        fit = [e for e in people if fits(e, i) and (not p or not e["place"] or e["place"] == p)]
-        if p:
-            same = [e for e in fit if e["place"] == p]
-            fit = same or [e for e in fit if not e["place"]]
-
+    for i in sorted(range(len(n)), key=lambda i: (not place[i], -n[i], -len(ini[i]), name[i], ini[i], place[i])):
         def rank(e: dict) -> tuple:
             second = len(ini[i]) > 1 and any(x[:2] == ini[i][:2] for x in e["ini"])
             clash = len(ini[i]) > 1 and not second and any(len(x) > 1 for x in e["ini"])
             return (name[i] in e["names"], second or bool(fore[i] and fore[i] in e["fore"]), not clash, e["n"])
 
+        if place[i]:
+            fit = [e for e in at_place.get(place[i], []) if fits(e, i)]
+        else:  # persons who share the spelling of the name come before all others
+            fit = [e for e in by_name.get(name[i], []) if fits(e, i)] or [e for e in people if fits(e, i)]
         best = max(fit, key=rank) if fit else None
-        if best is not None and len(ini[i]) > 1 and not p:
+        if best is not None and len(ini[i]) > 1 and not place[i]:
             r = rank(best)
             if not r[2] and any(len(x) > 1 for x in best["ini"]) and not r[1]:
                 best = None  # another middle initial and no place in common
-        e = best or new(i)
-        if not e["place"]:
-            e["place"] = p
-        add(e, i)
+        add(best or new(i), i)
     return who
 
 
+def one_spelling(kinds: DataFrame) -> DataFrame:
+    """``kinds`` with the places of each root brought to one spelling: the most frequent within
+    the edit radius. Null and empty places stay ''."""
+    key = F.concat("root", F.lit(":"), "place")
+    p = cut(kinds.where("place <> ''").groupBy(key.alias("name")).agg(F.sum("n").alias("n")))
+    tail = F.element_at(F.split("top", ":"), -1)
+    top = pivots(p, cut(radius_pairs(p))).select(F.col("name").alias("_k"), F.col("root").alias("top"))
+    x = kinds.join(top, key == F.col("_k"), "left")
+    return x.select(*[c for c in kinds.columns if c != "place"], "place", F.coalesce(tail, F.col("place")).alias("p"))
+
+
 def entities(df: DataFrame, key: str = "contributor_id", at: str | None = "loaded_at") -> DataFrame:
     """(id, entity): one row per entry; equal entity means the same person or body.
 
     Expects lastname, initials, authors, affiliation. Entries without any name are entities
-    of their own (entity null). Groups hold distinct profiles, not rows, so a name typed in
-    a third of all rows is one row of its group.
+    of their own (entity null). Profiles, not rows, are told apart: a name typed in a third of
+    all rows is one profile. Profiles with initials are dealt by surname and first initial;
+    those without join the person of their surname and place, or the best supported one.
     """
     src = one_delivery(df.select(key, "lastname", "initials", "authors", "affiliation", *([at] if at else [])), key, at).withColumnRenamed(key, "id")
     prof = cut(profiles(src.select("id", "lastname", "initials", "authors", "affiliation"), common_forenames(src)))
     names = cut(prof.groupBy("name").agg(F.count("*").alias("n")))
     root = pivots(names, cut(radius_pairs(names)))
-    kinds = prof.groupBy("name", "initials", "forename", "place").agg(F.count("*").alias("n")).join(root, "name")
-    kinds = cut(kinds.withColumn("k", F.count("*").over(Window.partitionBy("root"))))
-    out = "name string, initials string, forename string, place string, entity string"
+    kinds = cut(prof.groupBy("name", "initials", "forename", "place").agg(F.count("*").alias("n")).join(root, "name"))
+    body = F.col("root").startswith("b:")
+    persons = cut(one_spelling(kinds.where(~body)))
+    first = F.substring("initials", 1, 1)
+    out = "name string, initials string, forename string, place string, root string, p string, n long, entity string"
 
     def run(k: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.reset_index(drop=True)
-        f["entity"] = [f"{k[0]}#{i}" for i in split_group(f)]
-        return f[["name", "initials", "forename", "place", "entity"]]
-
-    # Bodies and surnames with one profile need no telling apart.
-    plainly = F.col("root").startswith("b:") | (F.col("k") == 1)
-    who = kinds.where(~plainly).drop("k").groupBy("root").applyInPandas(run, out)
-    alone = F.when(F.col("root").startswith("b:"), F.col("root")).otherwise(F.concat("root", F.lit("#0")))
-    who = who.unionByName(kinds.where(plainly).select("name", "initials", "forename", "place", alone.alias("entity")))
-    return prof.join(who, ["name", "initials", "forename", "place"]).select("id", "entity")
+        g = f.assign(place=f["p"])
+        f["entity"] = [f"{k[0]}#{k[1]}{i}" for i in split_group(g)]
+        return f[["name", "initials", "forename", "place", "root", "p", "n", "entity"]]
+
+    known = cut(persons.where("initials <> ''").groupBy("root", first.alias("first")).applyInPandas(run, out))
+    # Persons by what a profile without initials can be looked up by: place and spelling, then
+    # place, then persons without a place, or spelling and surname where it has no place.
+    people = cut(known.groupBy("root", "entity").agg(F.max("p").alias("p"), F.sum("n").alias("n"), F.collect_set("name").alias("names")))
+    bare = persons.where("initials = ''")
+    order = F.struct("n", "entity")
+    spelt = people.select("root", "entity", "p", "n", F.explode("names").alias("name"))
+
+    def best(x: DataFrame, by: list[str], tag: str) -> DataFrame:
+        return x.groupBy(*by).agg(F.max_by("entity", order).alias(tag))
+
+    x = bare.join(best(spelt, ["root", "name", "p"], "e1"), ["root", "name", "p"], "left").join(best(people, ["root", "p"], "e2"), ["root", "p"], "left")
+    x = x.join(best(spelt, ["root", "name"], "e3"), ["root", "name"], "left").join(best(people, ["root"], "e4"), ["root"], "left")
+    x = x.join(best(people.where("p = ''"), ["root"], "e5"), ["root"], "left")
+    placed = F.coalesce("e1", "e2", "e5", F.concat("root", F.lit("#@"), "p"))
+    entity = F.when(F.col("p") != "", placed).otherwise(F.coalesce("e3", "e4", F.concat("root", F.lit("#@"))))
+    cols = ["name", "initials", "forename", "place"]
+    who = known.select(*cols, "entity").unionByName(x.select(*cols, entity.alias("entity"))).unionByName(kinds.where(body).select(*cols, F.col("root").alias("entity")))
+    return prof.join(who, cols).select("id", "entity")
 
 
 def same_entity_pairs(ent: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, one_delivery
@@ -62,6 +62,11 @@ def radius(n: int) -> int:
     return 0 if n < 4 else 1 if n < 7 else 2
 
 
+def parallel(df: DataFrame) -> int:
+    """Partitions for work that is heavier than its bytes: as many as a shuffle has."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def centres(name: str, r: int) -> set[str]:
     """Strings that ``name`` becomes by at most r deletions."""
     out, edge = {name}, {name}
@@ -229,7 +234,7 @@ def radius_pairs(names: DataFrame) -> DataFrame:
                     n.append(k)
             yield pd.DataFrame({"c": c, "name": a, "n": n})
 
-    cell = cut(names.mapInPandas(cells, "c string, name string, n long").select(F.xxhash64("c").alias("c"), "name", "n"))
+    cell = cut(names.repartition(parallel(names), "name").mapInPandas(cells, "c string, name string, n long").select(F.xxhash64("c").alias("c"), "name", "n"))
     shared = cell.groupBy("c").agg(F.count("*").alias("k")).where("k > 1").select("c")
     cell = cell.join(shared, "c")
     a, b = cell.toDF("c", "a", "na"), cell.toDF("c", "b", "nb")
@@ -255,12 +260,11 @@ def pivots(names: DataFrame, pairs: DataFrame) -> DataFrame:
     raise RuntimeError("chains of names did not settle")
 
 
-def split_group(f: pd.DataFrame) -> list[int]:
+def split_group(rows: list[tuple]) -> list[int]:
     """Person number of every profile of one surname and first initial. Rows: name, initials,
     forename, place (one spelling per place), n. Profiles with a place make the persons, one
     per place and forename; a profile without goes to the best-supported person it fits."""
-    n = f["n"].tolist()
-    ini, fore, place, name = (f[c].tolist() for c in ("initials", "forename", "place", "name"))
+    name, ini, fore, place, n = zip(*rows)
     people: list[dict] = []
     at_place: dict[str, list[dict]] = {}
     by_name: dict[str, list[dict]] = {}
@@ -331,15 +335,38 @@ def entities(df: DataFrame, key: str = "contributor_id", at: str | None = "loade
     body = F.col("root").startswith("b:")
     persons = cut(one_spelling(kinds.where(~body)))
     first = F.substring("initials", 1, 1)
+    cols = ["name", "initials", "forename", "place"]
     out = "name string, initials string, forename string, place string, root string, p string, n long, entity string"
 
-    def run(k: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.reset_index(drop=True)
-        g = f.assign(place=f["p"])
-        f["entity"] = [f"{k[0]}#{k[1]}{i}" for i in split_group(g)]
-        return f[["name", "initials", "forename", "place", "root", "p", "n", "entity"]]
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Groups come in a row and are held one at a time; thousands of small ones share a call."""
+        held, done, key = [], [], None
+        names = [x.split()[0] for x in out.split(", ")]
 
-    known = cut(persons.where("initials <> ''").groupBy("root", first.alias("first")).applyInPandas(run, out))
+        def close() -> None:
+            no = split_group([(r[0], r[1], r[2], r[5], r[6]) for r in held])
+            done.extend((*r, f"{r[4]}#{r[1][:1]}{k}") for r, k in zip(held, no))
+            held.clear()
+
+        for f in frames:
+            for row in zip(*(f[c] for c in names[:-1])):
+                k = (row[4], row[1][:1])
+                if k != key and held:
+                    close()
+                    if len(done) > 20_000:
+                        yield pd.DataFrame(done, columns=names)
+                        done.clear()
+                key = k
+                held.append(row)
+        if held:
+            close()
+        yield pd.DataFrame(done, columns=names)
+
+    many = F.count("*").over(Window.partitionBy("root", first))
+    sized = cut(persons.where("initials <> ''").withColumn("k", many))
+    alone = sized.where("k = 1").select(*cols, "root", "p", "n", F.concat("root", F.lit("#"), first, F.lit("0")).alias("entity"))
+    groups = sized.where("k > 1").select(*cols, "root", "p", "n").repartition(parallel(df), "root", first).sortWithinPartitions("root", first)
+    known = cut(groups.mapInPandas(run, out).unionByName(alone))
     # Persons by what a profile without initials can be looked up by: place and spelling, then
     # place, then persons without a place, or spelling and surname where it has no place.
     people = cut(known.groupBy("root", "entity").agg(F.max("p").alias("p"), F.sum("n").alias("n"), F.collect_set("name").alias("names")))
@@ -355,7 +382,6 @@ def entities(df: DataFrame, key: str = "contributor_id", at: str | None = "loade
     x = x.join(best(people.where("p = ''"), ["root"], "e5"), ["root"], "left")
     placed = F.coalesce("e1", "e2", "e5", F.concat("root", F.lit("#@"), "p"))
     entity = F.when(F.col("p") != "", placed).otherwise(F.coalesce("e3", "e4", F.concat("root", F.lit("#@"))))
-    cols = ["name", "initials", "forename", "place"]
     who = known.select(*cols, "entity").unionByName(x.select(*cols, entity.alias("entity"))).unionByName(kinds.where(body).select(*cols, F.col("root").alias("entity")))
     return prof.join(who, cols).select("id", "entity")
 

@@ -2,6 +2,7 @@
 
 import random
 
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +175,15 @@ def test_linkage(spark):
     got = {x.rid: x.uber_id for x in ix.match(r).collect()}
     assert got == {1: 3, 2: 4, 3: 100, 4: 5, 8: 9}
     assert ix.match(r.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("authors", [0, 2, 3])
+def test_titles_of_common_words_are_found_whatever_their_authors(spark, authors):
+    """All words stand in far more titles than a posting list holds; runs of them do not."""
+    rng = random.Random(9)
+    words = [f"common{i}" for i in range(25)]
+    pubs = [(i, " ".join(rng.sample(words, 9)), [{"lastname": f"name{i}x{k}", "initials": "A"} for k in range(authors)], 1990 + i % 20, None, None, None, None) for i in range(2000)]
+    p = spark.createDataFrame(pubs, "uber_id long, title string, authors array<struct<lastname:string,initials:string>>, pub_year int, journal_title string, journal_volume string, page_info string, modified timestamp")
+    r = spark.createDataFrame([(i, pubs[i][1], None, str(pubs[i][3]), None, None, None) for i in range(0, 2000, 20)], "id long, title string, authors string, year string, journal string, vol string, page string")
+    got = linkage.Publications(p, lookalike.fit((p, "title"))).match(r).collect()
+    assert sum(x.rid == x.uber_id for x in got) >= 97

@@ -4,8 +4,8 @@ For every subject an interpolated bigram language model is trained from hand-lab
 documents; a sentence belongs to the subject whose model beats the background model by the
 most bits per sentence, and a document has the subjects that take up enough of its
 sentences. Models are refined by re-assigning the training sentences among their document's
-labels, so a document about two areas teaches each area its own sentences. The share from
-which a second subject is accepted is calibrated on the labels.
+labels, so a document about two areas teaches each area its own sentences. The shares from
+which a second subject is accepted are calibrated on labels held out from training.
 """
 
 from __future__ import annotations
@@ -128,16 +128,33 @@ class SubjectModel:
                 x = np.where(ok, score, -1e9)
                 x = np.exp(np.clip(x - x.max(1, keepdims=True), -50, 0)) * ok
                 resp = x / np.maximum(x.sum(1, keepdims=True), 1e-9)
-        self.theta = 0.25
-        if n_sent:
-            share = self.shares(texts)[0]
-            scores = {}
-            for theta in np.arange(0.12, 0.42, 0.01):
-                pred = self._accept(share, theta)
-                scores[float(theta)] = 2 * (pred & allowed).sum() / max(1, pred.sum() + allowed.sum())
-            # Among thresholds that do equally well, the one nearest to a quarter.
-            self.fit_f1 = max(scores.values())
-            self.theta = min((t for t, f in scores.items() if f >= self.fit_f1 - 0.002), key=lambda t: abs(t - 0.25))
+        self.theta = np.full(m, 0.25)
+
+    def calibrate(self, texts: list[str], labels: list[set[str]], least: int = 30) -> None:
+        """Set the shares from which a second subject is accepted on texts that were not trained
+        on: one for all, the nearest to a quarter among those that do equally well; and one of
+        its own for a subject that is second in ``least`` texts or more and gains by it."""
+        allowed = np.array([[s in ls for s in self.subjects] for ls in labels], bool).reshape(len(texts), len(self.subjects))
+        share = self.shares(texts)[0]
+        grid = np.arange(0.12, 0.42, 0.01)
+        scores = {}
+        for theta in grid:
+            pred = self._accept(share, np.full(len(self.subjects), theta))
+            scores[float(theta)] = 2 * (pred & allowed).sum() / max(1, pred.sum() + allowed.sum())
+        self.held_out_f1 = max(scores.values())
+        one = min((t for t, f in scores.items() if f >= self.held_out_f1 - 0.002), key=lambda t: abs(t - 0.25))
+        self.theta[:] = one
+        if share.shape[1] < 2:
+            return
+        second = np.argsort(-share, axis=1, kind="stable")[:, 1]
+        for j in range(len(self.subjects)):
+            at = np.flatnonzero((second == j) & (share[:, j] > 0))
+            if len(at) < least:
+                continue
+            right = {float(t): ((share[at, j] >= t) == allowed[at, j]).mean() for t in grid}
+            best = max(right.values())
+            if best > ((share[at, j] >= one) == allowed[at, j]).mean() + 0.01:
+                self.theta[j] = min((t for t, r in right.items() if r >= best - 1e-9), key=lambda t: abs(t - one))
 
     def _scores(self, w: np.ndarray, b: np.ndarray, sent: np.ndarray) -> np.ndarray:
         st = np.flatnonzero(np.diff(sent, prepend=-1))
@@ -167,15 +184,15 @@ class SubjectModel:
         return out / np.maximum(n, 1)[:, None], n
 
     @staticmethod
-    def _accept(share: np.ndarray, theta: float) -> np.ndarray:
-        """The leading subject, and the second where its share reaches theta."""
+    def _accept(share: np.ndarray, theta: np.ndarray) -> np.ndarray:
+        """The leading subject, and the second where its share is at least its theta."""
         order = np.argsort(-share, axis=1, kind="stable")
         pred = np.zeros(share.shape, bool)
         rows = np.arange(len(share))
         if share.shape[1]:
             pred[rows, order[:, 0]] = share[rows, order[:, 0]] > 0
         if share.shape[1] > 1:
-            pred[rows, order[:, 1]] = share[rows, order[:, 1]] >= theta
+            pred[rows, order[:, 1]] = share[rows, order[:, 1]] >= theta[order[:, 1]]
         return pred
 
     def predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -184,12 +201,23 @@ class SubjectModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, max_docs: int = 3000) -> SubjectModel:
-    """Train on at most ``max_docs`` labelled documents, the first by hash of their id."""
-    names = [r[0] for r in areas.where("subject IS NOT NULL").select("subject").distinct().limit(1000).collect()]
+    """Train on at most ``max_docs`` labelled documents, the first by hash of their id. A model of
+    two thirds of them sets the thresholds on the rest; the model returned has learned from all.
+    ``areas`` is the list of subjects in use, which every task holds."""
+    names = sorted(r[0] for r in areas.where("subject IS NOT NULL").select("subject").distinct().collect())
     lab = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
     lab = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)  # bounds what the driver holds
     rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(lab), "doc_id").select("doc_id", "text", "subjects").toPandas().sort_values("doc_id")
-    return SubjectModel(rows["text"].tolist(), [set(x) for x in rows["subjects"]], names)
+    texts, sets = rows["text"].tolist(), [set(x) for x in rows["subjects"]]
+    kept = np.arange(len(texts)) % 3 == 2
+    trial = SubjectModel([t for t, k in zip(texts, kept) if not k], [x for x, k in zip(sets, kept) if not k], names)
+    if kept.any():
+        trial.calibrate([t for t, k in zip(texts, kept) if k], [x for x, k in zip(sets, kept) if k])
+    theta = trial.theta
+    del trial
+    model = SubjectModel(texts, sets, names)
+    model.theta = theta
+    return model
 
 
 def subjects_of(docs: DataFrame, model: SubjectModel) -> DataFrame:

@@ -1,8 +1,8 @@
 """Problem 5: noise in text read from scanned pages.
 
 Words are grouped by the skeleton that their confusable glyphs leave; within a group the form
-that the collection (in texts that were not scanned) or the text itself supports is the right
-one. Lines equal but for digits and misread glyphs are running headers. The text is then
+that the collection (in texts that were not scanned) or the text itself supports, and that a few
+misreadings explain, is the right one. Lines equal but for digits and misread glyphs are running headers. The text is then
 reflowed. Vocabulary counts cover all texts and all words. They stay a table: the words that
 blocks of scanned texts ask for, and the forms those may be misread from, are joined with it,
 so a task holds the counts of its block only and every word keeps its count at every size.
@@ -141,18 +141,33 @@ def furniture(lines: list[str], references: bool) -> set[int]:
     return out
 
 
-def variants(w: str) -> Iterator[tuple[str, bool]]:
-    """(form, weak) for every form that may have been printed, one kind of misreading at a time."""
-    for bad, good in MISREADS:
-        at = w.find(bad)
-        if at < 0:
-            continue
-        weak = (bad, good) in WEAK
-        if w.count(bad) > 1:
-            yield w.replace(bad, good), weak
-        while at >= 0:
-            yield w[:at] + good + w[at + len(bad) :], weak
-            at = w.find(bad, at + 1)
+_STROKES = str.maketrans({"0": "o", "1": "l", "5": "s", "|": "l", "!": "l", "9": "g", "6": "ll", "8": "ll", "é": "e", "ü": "tl", "c": "e", "f": "t", "i": "l", "r": "l", "n": "ll", "u": "ll", "h": "ll", "b": "ll", "m": "lll", "d": "el", "w": "vl"})
+
+
+def word_skeleton(w: str) -> str:
+    """The glyphs of a lower-cased word with what MISREADS confuses merged: upright strokes are
+    counted, so a printed word and any misreading of it have one skeleton."""
+    return w.replace("vv", "w").translate(_STROKES)
+
+
+def misreading(read: str, printed: str, most: int = 4) -> tuple[int, int, bool] | None:
+    """(misreadings, kinds of them, whether a weak one is among them) by which ``printed`` was
+    read as ``read``, with the fewest misreadings; None if it takes more than ``most``."""
+    best: dict[tuple[int, int], tuple[int, frozenset]] = {(0, 0): (0, frozenset())}
+    for i in range(len(read) + 1):
+        for j in range(len(printed) + 1):
+            at = best.get((i, j))
+            if at is None:
+                continue
+            steps = [(i + 1, j + 1, 0, None)] if i < len(read) and j < len(printed) and read[i] == printed[j] else []
+            steps += [(i + len(bad), j + len(good), 1, (bad, good)) for bad, good in MISREADS if at[0] < most and read.startswith(bad, i) and printed.startswith(good, j)]
+            for x, y, cost, kind in steps:
+                new = (at[0] + cost, at[1] | {kind} if kind else at[1])
+                old = best.get((x, y))
+                if old is None or (new[0], len(new[1])) < (old[0], len(old[1])):
+                    best[x, y] = new
+    end = best.get((len(read), len(printed)))
+    return (end[0], len(end[1]), any(k in WEAK for k in end[1])) if end and end[0] else None
 
 
 def asked_words(text: str, gone: set[int]) -> set[str]:
@@ -171,26 +186,37 @@ def asked_words(text: str, gone: set[int]) -> set[str]:
     return out
 
 
-def printed_forms(w: str, own: int) -> set[str]:
-    """Every form whose count ``intended`` looks up for a word counted ``own`` times."""
-    marked = bool(MARK.search(w))
-    if own >= 3 or len(w) < 3 or w.isdigit() or "-" in w:
-        return set()
-    out = {c for c, _ in variants(w)}
-    if marked:
-        out |= {c2 for c in list(out) if MARK.search(c) for c2, _ in variants(c)}
-    return out
+def may_be_misread(w: str, own: int) -> bool:
+    """Whether other forms are looked up for a word counted ``own`` times."""
+    return own < 3 and len(w) >= 3 and not w.isdigit() and "-" not in w
 
 
-class Vocabulary:
-    """Counts of words in the texts that were not scanned."""
+Form = tuple[str, int, int, int, bool]  # printed form, its count, misreadings, kinds, weak
 
-    def __init__(self, counts: dict[str, int], total: int) -> None:
-        self.n, self.total = counts, total
 
-    def intended(self, word: str, here: Counter, names: bool = False) -> str | None:
+class Vocabulary:
+    """Counts of words in the texts that were not scanned, and for words that may be misread
+    the forms of their skeleton. Without ``forms`` they are looked up among the words given."""
+
+    def __init__(self, counts: dict[str, int], forms: dict[str, list[Form]] | None = None) -> None:
+        self.n, self.forms = counts, forms
+        self.groups: dict[str, list[str]] = {}
+        if forms is None:
+            for w in counts:
+                self.groups.setdefault(word_skeleton(w), []).append(w)
+
+    def printed(self, w: str) -> list[Form]:
+        if self.forms is not None:
+            return self.forms.get(w, [])
+        found = ((c, misreading(w, c)) for c in self.groups.get(word_skeleton(w), ()) if c != w)
+        return [(c, self.n[c], *m) for c, m in found if m]
+
+    def intended(self, word: str, here: Counter, names: bool = False, near: dict[str, list[str]] | None = None) -> str | None:
         """The supported form of a misread word; None where the word may stand as it is.
 
+        Forms of one skeleton are weighed by their count in the collection and, three times as
+        much, in the same text (``here``; ``near``: its seldom words by skeleton). Weak or
+        several kinds of misreading need more support, unless a digit or sign marks the word.
         names: the text lists persons, so a capitalised word with letters only may be a
         misspelt name and needs a sign of misreading.
         """
@@ -198,25 +224,36 @@ class Vocabulary:
         if names and word[:1].isupper() and not MARK.search(w) and not re.search("rn|cl|ii|vv|ri|ü", w):
             return None
         own = self.n.get(w, 0)
-        if own >= 3 or len(w) < 3 or w.isdigit():
+        if not may_be_misread(w, own):
             return None
         marked = bool(MARK.search(w)) and any(c.isalpha() for c in w)
         best, support = None, 0
-        for c, weak in variants(w):
-            n = self.n.get(c, 0)
-            if n == 0 and marked:  # two kinds in one word
-                for c2, weak2 in variants(c):
-                    if MARK.search(c) and self.n.get(c2, 0) > support:
-                        best, support = c2, self.n[c2]
-            local = here.get(c, 0) if c != w and not MARK.search(c) else 0
-            if local and (marked or (not weak and local >= 2 * here.get(w, 1))) and local * 3 > support:
-                best, support = c, local * 3
-            if n > support and n >= (30 if weak else 4) and n > 10 * own:
+        for c, n, times, kinds, weak in self.printed(w):
+            if MARK.search(c):
+                continue
+            least = 1 if marked and kinds == 2 else 30 if weak or (kinds > 1 and not marked) else 4
+            if kinds > 2 and (n < 30 or len(w) < 7):
+                continue
+            if n > support and n >= least and n > 10 * own:
                 best, support = c, n
+        for c in (near or {}).get(word_skeleton(w), ()):
+            if c == w or MARK.search(c) or here[c] * 3 <= support:
+                continue
+            m = misreading(w, c)
+            if m and m[1] == 1 and (marked or (not m[2] and here[c] >= 2 * here.get(w, 1))):
+                best, support = c, here[c] * 3
         if best is None and marked and re.fullmatch(r"[a-zà-ÿ]+[0|!159][a-zà-ÿ]+[0|!159a-zà-ÿ]*", w):
             best = w.translate(str.maketrans("0159|!", "olsgll"))
         return best
 
+    def by_skeleton(self, here: Counter) -> dict[str, list[str]]:
+        """A text's words that the collection hardly knows, by skeleton."""
+        out: dict[str, list[str]] = {}
+        for w in here:
+            if self.n.get(w, 0) < 4 and len(w) > 2:
+                out.setdefault(word_skeleton(w), []).append(w)
+        return out
+
     def divided(self, left: str, sign: str, right: str) -> bool:
         """Whether a hyphen at a line's end divides one word."""
         if sign != "-":
@@ -239,6 +276,7 @@ def line_noise(text: str, vocab: Vocabulary, references: bool = False, gone: set
     out = [(i + 1, "furniture") for i in gone]
     body = [i for i, x in enumerate(lines) if x.strip() and i not in gone]
     here = Counter(w.lower() for i in body for w in WORD.findall(lines[i]))
+    near = vocab.by_skeleton(here)
     for p, i in enumerate(body):
         x = lines[i].rstrip()
         tail = None
@@ -253,9 +291,9 @@ def line_noise(text: str, vocab: Vocabulary, references: bool = False, gone: set
             ws = ws[:-1]
         if p and lines[body[p - 1]].rstrip()[-1:] in HYPHENS and ws:
             ws = ws[1:]
-        bad = any(vocab.intended(w, here, references) for w in ws)
+        bad = any(vocab.intended(w, here, references, near) for w in ws)
         if tail and not bad:
-            bad = bool(MARK.search(tail[0]) and vocab.intended("".join(tail), here, references))
+            bad = bool(MARK.search(tail[0]) and vocab.intended("".join(tail), here, references, near))
         if bad:
             out.append((i + 1, "ocr"))
     return out
@@ -294,9 +332,10 @@ def kept_lines(text: str, vocab: Vocabulary, gone: set[int]) -> list[tuple[int,
 def corrected(text: str, vocab: Vocabulary, references: bool = False) -> str:
     """Misread words of a reflowed text put right; their case is kept."""
     here = Counter(w.lower() for w in WORD.findall(text))
+    near = vocab.by_skeleton(here)
 
     def right(m: re.Match) -> str:
-        good = vocab.intended(m[0], here, references)
+        good = vocab.intended(m[0], here, references, near)
         if good is None:
             return m[0]
         return good.upper() if m[0].isupper() and len(m[0]) > 1 else good[:1].upper() + good[1:] if m[0][:1].isupper() else good
@@ -304,8 +343,19 @@ def corrected(text: str, vocab: Vocabulary, references: bool = False) -> str:
     return WORD.sub(right, text)
 
 
+def with_skeletons(words: DataFrame) -> DataFrame:
+    """(w, n, s): words with a digest of their skeleton."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"w": f["w"], "n": f["n"], "s": [word_skeleton(w) for w in f["w"]]})
+
+    return words.mapInPandas(run, "w string, n long, s string").select("w", "n", F.xxhash64("s").alias("s"))
+
+
 def vocabulary(frames: list[tuple[DataFrame, str]]) -> DataFrame:
-    """(w, n): counts over all texts that were not scanned; words and hyphenated compounds."""
+    """(w, n, s): counts over all texts that were not scanned, of words and hyphenated
+    compounds, with their skeletons."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in chunks(batches, "t"):
@@ -324,7 +374,7 @@ def vocabulary(frames: list[tuple[DataFrame, str]]) -> DataFrame:
     for df, c in frames:
         part = df.where(F.col(c).isNotNull()).select(F.col(c).alias("t")).mapInPandas(count, "w string, n long")
         both = part if both is None else both.union(part)
-    return cut(both.groupBy("w").agg(F.sum("n").alias("n")))
+    return cut(with_skeletons(both.groupBy("w").agg(F.sum("n").alias("n"))))
 
 
 def scanned_texts(df: DataFrame, references: bool) -> DataFrame:
@@ -343,10 +393,10 @@ def judged(texts: DataFrame, words: DataFrame | Vocabulary, ask: Callable[[str,
     """The rows of judge(id, text, gone, vocabulary) for every text of (id, t, gone).
 
     The vocabulary holds the words that ``ask`` names for the text's block (about ``chars``
-    characters of texts) and the forms they may be misread from, with their full counts.
+    characters of texts) and the forms of their skeleton that explain them, with full counts.
     """
     if isinstance(words, Vocabulary):
-        words = texts.sparkSession.createDataFrame(list(words.n.items()), "w string, n long")
+        words = with_skeletons(texts.sparkSession.createDataFrame(list(words.n.items()), "w string, n long"))
     names = [c.split()[0] for c in schema.split(", ")]
 
     def block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -359,20 +409,34 @@ def judged(texts: DataFrame, words: DataFrame | Vocabulary, ask: Callable[[str,
             rows = {(g, k) for g, t, gone in zip(f["g"], f["t"], f["gone"]) for k in ask(t, set(gone))}
             yield pd.DataFrame(list(rows), columns=["g", "k"])
 
-    def forms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def skeletons(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            use = [may_be_misread(k, n) for k, n in zip(f["k"], f["n"])]
+            g = f[use]
+            yield pd.DataFrame({"s": [word_skeleton(k) for k in g["k"]], "k": g["k"]})
+
+    def explained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame([(k, w) for k, n in zip(f["k"], f["n"]) for w in printed_forms(k, n)], columns=["k", "w"])
+            rows = [(k, w, n, *m) for k, w, n in zip(f["k"], f["w"], f["n"]) if k != w and (m := misreading(k, w))]
+            yield pd.DataFrame(rows, columns=["k", "w", "n", "times", "kinds", "weak"])
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        v = Vocabulary(dict(zip(right["w"], right["n"])), 0)
+        own = right[right["w"].isna()]
+        forms: dict[str, list[Form]] = {}
+        for k, *form in zip(*(right[~right["w"].isna()][c].tolist() for c in ("k", "w", "n", "times", "kinds", "weak"))):
+            forms.setdefault(k, []).append((form[0], int(form[1]), int(form[2]), int(form[3]), bool(form[4])))
+        v = Vocabulary(dict(zip(own["k"], own["n"].astype(int))), forms)
         return pd.DataFrame([r for i, t, gone in zip(left["id"], left["t"], left["gone"]) for r in judge(i, t, set(gone), v)], columns=names)
 
     blocks = cut(texts.mapInPandas(block, "g long, id long, t string, gone array<int>"))
     asked = cut(blocks.mapInPandas(keys, "g long, k string").distinct())
-    own = cut(asked.select("k").distinct().join(words.withColumnRenamed("w", "k"), "k", "left").select("k", F.coalesce("n", F.lit(0)).alias("n")))
-    other = own.where("n < 3").mapInPandas(forms, "k string, w string").join(words, "w").select("k", "w", "n")
-    known = own.where("n > 0").select("k", F.col("k").alias("w"), "n").unionByName(other)
-    counts = asked.join(known, "k").select("g", "w", "n").distinct()
+    own = cut(asked.select("k").distinct().join(words.select(F.col("w").alias("k"), "n"), "k", "left").select("k", F.coalesce("n", F.lit(0)).alias("n")))
+    read = own.where("n < 3").mapInPandas(skeletons, "s string, k string").select(F.xxhash64("s").alias("s"), "k")
+    printed = words.where("w NOT LIKE '%-%'").select("w", "n", "s")
+    other = cut(read.join(printed, "s").select("k", "w", "n").mapInPandas(explained, "k string, w string, n long, times int, kinds int, weak boolean"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("w", "string"), ("times", "int"), ("kinds", "int"), ("weak", "boolean"))]
+    known = own.where("n > 0").select("k", none[0], "n", *none[1:]).unionByName(other)
+    counts = asked.join(known, "k").select("g", "k", "w", "n", "times", "kinds", "weak")
     return blocks.groupBy("g").cogroup(counts.groupBy("g")).applyInPandas(run, schema)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm import linkage, lookalike, mixing, packing, scans, sitelines, subjects, tokens
 
-VOCAB = scans.Vocabulary({w: 100 for w in "community modern modem diesel increased returned antibody long-term long term families report improve the of in people".split()} | {"outbreak": 50}, 10_000)
+VOCAB = scans.Vocabulary({w: 100 for w in "community modern modem diesel increased returned antibody long-term long term families report improve the of in people".split()} | {"outbreak": 50})
 SCAN = "Report on diesel | 12\n\nThe cornmunity increa5ed the use of diese| in the out-\nbreak and of modern means in the long-\nterm report of the modem people in town\nRep0rt 0n diesel | 13\nThe farnilics returried it.\n- 14 -"
 
 
@@ -187,3 +187,12 @@ def test_titles_of_common_words_are_found_whatever_their_authors(spark, authors)
     r = spark.createDataFrame([(i, pubs[i][1], None, str(pubs[i][3]), None, None, None) for i in range(0, 2000, 20)], "id long, title string, authors string, year string, journal string, vol string, page string")
     got = linkage.Publications(p, lookalike.fit((p, "title"))).match(r).collect()
     assert sum(x.rid == x.uber_id for x in got) >= 97
+
+
+def test_words_meet_their_forms_by_skeleton():
+    for read, printed in (("trcatrncnt", "treatment"), ("rnodem", "modem"), ("c0mmun1ty", "community"), ("iücreased", "iticreased"), ("hke", "like")):
+        assert scans.word_skeleton(read) == scans.word_skeleton(printed)
+        assert scans.misreading(read, printed) is not None
+    assert scans.misreading("modern", "modem") == (1, 1, False) and scans.misreading("cat", "dog") is None and scans.misreading("same", "same") is None
+    v = scans.Vocabulary({"treatment": 900, "modern": 50, "modem": 50})
+    assert v.intended("Trcatrncnt", {}) == "treatment" and v.intended("modem", {}) is None and v.intended("unknown", {}) is None

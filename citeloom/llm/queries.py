@@ -144,6 +144,32 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(packing.pack(_sized(spark, d), sizes), sizes)
 
 
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of any filling: every document once, nothing above the capacity, only
+    documents above it cut, every token in its place."""
+    sizes = table(spark, d, "pack_sizes").select("pack_id", "capacity_tokens").distinct()
+    sized = _sized(spark, d)
+    packed = cut(packing.pack(sized, sizes))
+    full = packed.groupBy("pack_id", "container_id").agg(F.sum("tokens").alias("t")).join(F.broadcast(sizes), "pack_id").groupBy("pack_id").agg(F.sum((F.col("t") > F.col("capacity_tokens")).cast("long")).alias("overfull"))
+    per = packed.groupBy("pack_id", "doc_id").agg(F.sum("tokens").alias("t"), F.count("*").alias("pieces"), F.max(F.col("first_token") + F.col("tokens")).alias("end"))
+    per = per.join(sized.select("doc_id", F.col("tokens").alias("n")), "doc_id").join(F.broadcast(sizes), "pack_id")
+    g = per.groupBy("pack_id").agg(F.count("*").alias("documents"), F.sum(((F.col("pieces") > 1) & (F.col("n") <= F.col("capacity_tokens"))).cast("long")).alias("split_needlessly"), F.sum(F.abs(F.col("n") - F.col("t")) + F.abs(F.col("n") - F.col("end"))).alias("tokens_lost"))
+    return g.join(full, "pack_id").select("pack_id", "documents", "overfull", "split_needlessly", "tokens_lost")
+
+
+def p9_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of any mixture, for every target: no document used more often than
+    allowed, none from another source, uses in the order of their positions."""
+    targets, sized = table(spark, d, "mix_targets"), _sized(spark, d)
+    m = cut(mixing.mixture(sized, targets))
+    want = targets.where("source IS NOT NULL").groupBy("source").agg(F.max("max_repeats").cast("long").alias("allowed"))
+    per = m.groupBy("source", "doc_id").agg(F.max("use").alias("uses"), F.count("*").alias("n"), F.min_by("use", "position").alias("first"))
+    per = per.join(sized.select("doc_id", F.col("source").alias("own")), "doc_id").join(F.broadcast(want), "source")
+    bad = lambda c: F.sum(c.cast("long"))
+    g = per.groupBy("source").agg(bad((F.col("n") > F.col("allowed")) | (F.col("n") != F.col("uses"))).alias("used_more"), bad(F.col("own") != F.col("source")).alias("wrong_source"), bad(F.col("first") != 1).alias("out_of_order"))
+    return want.join(g, "source", "left").select("source", "allowed", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("used_more", "wrong_source", "out_of_order")])
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(_sized(spark, d), table(spark, d, "mix_targets"))
 

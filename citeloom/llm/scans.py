@@ -25,7 +25,7 @@ from . import textkit as K
 from .neardup import chunks
 
 # What a scanner reads for what was printed.
-MISREADS = [("0", "o"), ("1", "i"), ("1", "l"), ("|", "l"), ("|", "i"), ("!", "l"), ("!", "i"), ("5", "s"), ("9", "g"), ("6", "b"), ("8", "b"), ("c", "e"), ("f", "t"), ("b", "h"), ("ri", "n"), ("rn", "m"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("ü", "ti"), ("h", "li"), ("w", "vi"), ("m", "in"), ("é", "e")]
+MISREADS = [("0", "o"), ("1", "i"), ("1", "l"), ("|", "l"), ("|", "i"), ("!", "l"), ("!", "i"), ("5", "s"), ("9", "g"), ("6", "b"), ("8", "b"), ("c", "e"), ("f", "t"), ("b", "h"), ("ri", "n"), ("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("ii", "u"), ("vv", "w"), ("ü", "ti"), ("h", "li"), ("w", "vi"), ("m", "in"), ("é", "e")]
 # Of these, single letters for single letters: a typing error looks the same, so they need more support.
 WEAK = {("c", "e"), ("f", "t"), ("b", "h"), ("é", "e"), ("h", "li"), ("w", "vi"), ("m", "in")}
 # Words that no title ends with.

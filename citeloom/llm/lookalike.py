@@ -74,8 +74,8 @@ class Classes:
 def rewrite_rules(counts: dict[str, int]) -> dict[str, str]:
     """{pattern: representative} for an alphabet with its counts; only patterns that change.
 
-    A class is written as its most frequent single character, ties to the lowest code
-    point; the class of the empty string is removed from the text. A class with members of
+    A class is written as its most frequent single character, of accented letters the one
+    whose bare letter is the most frequent, ties to the lowest code point; the class of the empty string is removed from the text. A class with members of
     several characters (a ligature, a letter and its accent written apart) is written as the
     longest of those without a combining accent, if any: single characters are counted,
     sequences are not.
@@ -119,7 +119,7 @@ def rewrite_rules(counts: dict[str, int]) -> dict[str, str]:
             best = (
                 max(multi, key=lambda m: (len(m), m))
                 if multi
-                else max(members, key=lambda m: (counts.get(m, 0), len(m) == 1, -ord(m[0])))
+                else max(members, key=lambda m: (counts.get(U.normalize("NFD", m)[0], 0), counts.get(m, 0), len(m) == 1, -ord(m[0])))
             )
         rules.update({m: best for m in members if m != best and m})
     return rules

@@ -138,6 +138,8 @@ def test_same_look(spark):
 def test_frequency_chooses_the_representative():
     assert lookalike.rewrite_rules({"a": 1, "а": 9})["a"] == "а"
     assert lookalike.rewrite_rules({"a": 9, "а": 1})["а"] == "a"
+    mixed = lookalike.rewrite_rules({"E": 90, "Ε": 3, "Έ": 3, "É": 1})  # accented letters follow their bare letter
+    assert mixed["Έ"] == "É" and mixed["Ε"] == "E"
 
 
 def test_radius_join_is_exact(spark):

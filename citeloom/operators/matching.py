@@ -103,11 +103,15 @@ def bm25_matches(refs: DataFrame, ref_id: str, ref_title: str, pubs: DataFrame,
     pc = _counts(p, "p")
     idf = pc.groupBy("t").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats)).select("t", "df", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "avgdl")
     need = F.greatest(F.floor(share * F.size("toks")), F.lit(1)).cast("int")
-    qt = _counts(q, "q").join(idf.select("t", "df"), "t", "left").groupBy("q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t", "tf"))).alias("ts"), F.sum("tf").alias("n"))
+    most = F.when(F.col("df").isNull(), 0.0).otherwise(F.col("tf") * F.col("idf") * (k1 + 1)).alias("most")
+    qt = _counts(q, "q").join(idf.select("t", "df", "idf"), "t", "left").groupBy("q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t", "tf", most))).alias("ts"), F.sum("tf").alias("n"))
     qt = qt.withColumn("need", F.greatest(F.floor(share * F.col("n")), F.lit(1)).cast("int"))
-    # A match shares ``need`` of n words, so it has one of the rarest n - need + 1.
+    # A match shares ``need`` of n words, so it has one of the rarest n - need + 1. The words
+    # from its rarest shared one on must also be able to score above the limit: a word adds
+    # less than (k1 + 1) * idf each time.
+    rest = lambda i: F.aggregate(F.slice("ts", i + 1, F.size("ts")), F.lit(0.0), lambda a, e: a + e["most"])
     before = lambda i: F.aggregate(F.slice("ts", 1, i), F.lit(0).cast("long"), lambda a, e: a + e["tf"])
-    prefix = F.filter(F.transform("ts", lambda e, i: F.when((before(i) <= F.col("n") - F.col("need")) & (e["df"] > 0), e["t"])), lambda x: x.isNotNull())
+    prefix = F.filter(F.transform("ts", lambda e, i: F.when((before(i) <= F.col("n") - F.col("need")) & (e["df"] > 0) & (rest(i) > least - 1e-5), e["t"])), lambda x: x.isNotNull())
     pairs = qt.select("q", F.explode(prefix).alias("t")).join(pc.select("p", "t"), "t").select("q", "p").distinct()
     pv = pc.join(idf, "t").join(p.select("p", F.size("toks").alias("dl")), "p").select("p", "t", (F.col("idf") * (k1 + 1) * F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))).alias("s"))
     pv = pv.groupBy("p").agg(F.map_from_entries(F.collect_list(F.struct("t", "s"))).alias("m"))

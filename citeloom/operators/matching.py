@@ -20,7 +20,7 @@ def require_titles(pubs: DataFrame, title: str) -> None:
         raise ValueError("the corpus has no titles")
 
 
-def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame, pub_id: str, title: str, least: int = 40, most_words: int = 1_000_000) -> DataFrame:
+def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame, pub_id: str, title: str, least: int = 40, most_words: int = 1_000_000, pubs_above: int = 100_000) -> DataFrame:
     """(doc_id, pub_id, title): cleaned titles of at least ``least`` characters that stand in
     the cleaned text, not bounded by words. Null texts and titles match nothing; equal
     titles of different publications all match; rows delivered twice count once."""
@@ -33,16 +33,18 @@ def exact_containment(docs: DataFrame, doc_id: str, text: str, pubs: DataFrame,
     freq = each.groupBy("w").agg(F.count("*").alias("n"))
     anchors = each.join(freq, "w").groupBy("p", "c").agg(F.min_by("w", F.struct("n", -F.length("w"), "w")).alias("w"))
     # Only ids meet by word; a text moves once per candidate, not once per word.
-    anchors = cut(anchors)
-    asked = anchors.select("w").distinct()
-    # Words that no title is anchored to need not move: at most a million words, checked, go to
-    # every task; beyond that the join itself drops them after the exchange.
     tokens = d.select("d", F.explode(F.array_distinct(F.split("t", " "))).alias("w")).where("w <> ''")
-    if asked.count() <= most_words:
-        tokens = tokens.join(F.broadcast(asked), "w", "left_semi")
+    if pubs_above < pubs.count():
+        # Too many anchors for Spark to send whole: words that no title is anchored to need not
+        # move. At most a million distinct anchor words, checked, go to every task; beyond that
+        # the join itself drops the others after the exchange.
+        anchors = cut(anchors)
+        asked = anchors.select("w").distinct()
+        if asked.count() <= most_words:
+            tokens = tokens.join(F.broadcast(asked), "w", "left_semi")
     found = tokens.join(anchors, "w").select("d", "p", "c").distinct().join(d, "d").where(F.col("t").contains(F.col("c"))).select("d", "p", "c")
     # Titles of one or two words are looked up by their first characters at every place.
-    short = cut(p.where(F.size("w") == 0).select("p", "c", F.substring("c", 1, least).alias("w")))
+    short = p.where(F.size("w") == 0).select("p", "c", F.substring("c", 1, least).alias("w"))
     if not short.isEmpty():
         places = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("t") - least + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, F.lit(least))), lambda x: F.char_length(x) == least)
         found = found.union(d.select("d", "t", F.explode(F.array_distinct(places)).alias("w")).join(short, "w").where(F.col("t").contains(F.col("c"))).select("d", "p", "c"))

@@ -165,7 +165,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, shingler: Shingle
     radius = 1 - threshold
 
     def measured(p: DataFrame) -> DataFrame:
-        """(node_a, node_b, similarity) of pairs that reach the threshold or not: both sets at hand."""
+        """(node_a, node_b, similarity) of any pairs: both sets at hand."""
         q = p.join(placed.select(F.col("node").alias("node_a"), F.col("items").alias("ia")), "node_a").join(placed.select(F.col("node").alias("node_b"), F.col("items").alias("ib")), "node_b")
         q = q.withColumn("both", F.size(F.array_intersect("ia", "ib")))
         return q.select("node_a", "node_b", (F.col("both") / (F.size("ia") + F.size("ib") - F.col("both"))).alias("similarity"))

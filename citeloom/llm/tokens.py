@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,15 @@ def encoding(path: str):
 
 
 def token_counts(df: DataFrame, id_col: str, text_col: str, *keep: str, path: str = RANKS) -> DataFrame:
-    """(id, *keep, tokens long): whole texts; null and empty texts have 0 tokens."""
+    """(id, *keep, tokens long): whole texts; null and empty texts have 0 tokens. The vocabulary
+    file needs to be on the driver only; it is sent to the executors."""
+    df.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
     kept = [df.schema[c] for c in (id_col, *keep)]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", tokens long"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoding(path)
+        enc = encoding(SparkFiles.get(name))
         for f in frames:
             out = f[[id_col, *keep]].copy()
             out["tokens"] = [len(enc.encode_ordinary(t)) if t else 0 for t in f["_t"]]

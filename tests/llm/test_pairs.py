@@ -69,7 +69,7 @@ def test_insertion_into_a_text_with_many_copies(spark):
 
 
 def test_pairs_that_share_little_but_a_house_phrase(spark):
-    """A phrase of 83 words stands in every text; 40 pairs of them reach 0.6 through it."""
+    """A phrase of 83 words stands in every text; 40 pairs of them have 0.6 or more through it."""
     house = " ".join(f"house{i}" for i in range(83))
     texts = []
     for p in range(40):

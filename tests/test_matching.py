@@ -1,8 +1,10 @@
 import math
+import random
+from collections import Counter
 
 import pytest
 
-from citeloom.operators import matching
+from citeloom.operators import lookups, matching
 from pyspark.sql import functions as F
 
 
@@ -60,3 +62,64 @@ def test_fold_keeps_order_and_repeats(spark):
     m = spark.createDataFrame([(0, "m1", "A", 1.0), (1, "m2", "B", 2.0), (2, "m1", "A", 3.0)], "seq int, match_id string, doc string, similarity double")
     got = {r.match_id: (r.similarity, r.associated_policies_count, r.policies) for r in matching.fold_citations(m, "match_id", F.col("seq"), F.col("doc"), ["similarity"]).collect()}
     assert got == {"m1": (1.0, 2, ["A", "A"]), "m2": (2.0, 1, ["B"])}
+
+
+def crowd(seed, n=400):
+    """Titles of two own words and of six out of thirty, and six that all hold."""
+    r = random.Random(seed)
+    return [(i, " ".join([f"own{i}", f"sole{i}", *r.sample([f"topic{k}" for k in range(30)], 6), *"does the programme help these people".split()])) for i in range(n)]
+
+
+def counted(monkeypatch):
+    """Filled with the number of pairs whenever a search compares titles."""
+    met, scored = [], lookups.Titles.scored
+
+    def count(self, pairs, score):
+        met.append(pairs.count())
+        return scored(self, pairs, score)
+
+    monkeypatch.setattr(lookups.Titles, "scored", count)
+    return met
+
+
+def brute_bm25(asked, pubs, least, share=0.8, k1=1.2, b=0.75):
+    docs = {i: Counter(t.split()) for i, t in pubs}
+    avg = sum(len(t.split()) for _, t in pubs) / len(pubs)
+    df = Counter(w for d in docs.values() for w in d)
+    out = {}
+    for q, t in asked:
+        c = Counter(t.split())
+        for p, d in docs.items():
+            hit = sum(k for w, k in c.items() if w in d)
+            s = sum(k * math.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5)) * (k1 + 1) * d[w] / (d[w] + k1 * (1 - b + b * sum(d.values()) / avg)) for w, k in c.items() if w in d)
+            if hit >= max(math.floor(share * sum(c.values())), 1) and s > least and (q not in out or (round(s, 6), -p) > (out[q][1], -out[q][0])):
+                out[q] = (p, round(s, 6))
+    return out
+
+
+def common(seed, n, most):
+    """Titles of few different words, repeats too: every word is common."""
+    r = random.Random(seed)
+    return [(i, " ".join(r.choices([f"w{k}" for k in range(25)], range(1, 26), k=r.randint(1, most)))) for i in range(n)]
+
+
+def searched(spark, search, asked, pubs, **more):
+    a, p = spark.createDataFrame(asked, "reference_id long, title string"), spark.createDataFrame(pubs, "uber_id long, title string")
+    return search(a, "reference_id", "title", p, "uber_id", "title", **more).collect()
+
+
+def test_bm25_common_words_make_few_candidates(spark, monkeypatch):
+    met, pubs = counted(monkeypatch), crowd(1)
+    asked = [(i, t.replace("does the ", "")) for i, t in pubs]
+    got = searched(spark, matching.bm25_matches, asked, pubs, least=8.0)
+    assert {r.reference_id: r.uber_id for r in got} == {i: i for i, _ in pubs}
+    assert met and met[0] < 0.05 * len(pubs) ** 2
+
+
+@pytest.mark.parametrize("least", [0.5, 4.0, 9.0])
+def test_bm25_is_exact_where_every_word_is_common(spark, least):
+    pubs, asked = common(2, 300, 9), common(3, 120, 9)
+    want = brute_bm25(asked, pubs, least)
+    got = {r.reference_id: (r.uber_id, r.score) for r in searched(spark, matching.bm25_matches, asked, pubs, least=least)}
+    assert {q: p for q, (p, _) in got.items()} == {q: p for q, (p, _) in want.items()}
+    assert all(got[q][1] == pytest.approx(want[q][1], abs=2e-6) for q in want) and want

@@ -123,3 +123,27 @@ def test_bm25_is_exact_where_every_word_is_common(spark, least):
     got = {r.reference_id: (r.uber_id, r.score) for r in searched(spark, matching.bm25_matches, asked, pubs, least=least)}
     assert {q: p for q, (p, _) in got.items()} == {q: p for q, (p, _) in want.items()}
     assert all(got[q][1] == pytest.approx(want[q][1], abs=2e-6) for q in want) and want
+
+
+def test_tfidf_common_words_make_few_candidates(spark, monkeypatch):
+    met, pubs = counted(monkeypatch), crowd(1)
+    asked = [(i, t.replace("does the ", "")) for i, t in pubs]
+    got = searched(spark, matching.tfidf_matches, asked, pubs, least=0.6, top=10)
+    assert {r.reference_id: r.uber_id for r in got if r.rank == 1} == {i: i for i, _ in pubs}
+    assert met and met[0] < 0.05 * len(pubs) ** 2
+
+
+@pytest.mark.parametrize("least", [0.3, 0.6, 0.85])
+def test_tfidf_is_exact_where_every_word_is_common(spark, least):
+    pubs, asked = common(4, 300, 9), [(i, t + " unheard" * (i % 2)) for i, t in common(5, 80, 9)]
+    df = Counter(w for _, t in pubs for w in set(t.split()))
+
+    def vector(t):
+        v = {w: k * (math.log((1 + len(pubs)) / (1 + df[w])) + 1) for w, k in Counter(t.split()).items() if w in df}
+        return {w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
+
+    docs = [(p, vector(t)) for p, t in pubs]
+    want = {(q, p): s for q, t in asked for v in [vector(t)] for p, d in docs if (s := round(sum(x * d.get(w, 0) for w, x in v.items()), 6)) > least}
+    got = {(r.reference_id, r.uber_id): r.similarity for r in searched(spark, matching.tfidf_matches, asked, pubs, least=least, top=1000)}
+    assert got.keys() == want.keys() and want
+    assert all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)

@@ -28,6 +28,7 @@ from .names import PARTICLES, TITLES, plain
 SKIP = TITLES | PARTICLES | frozenset("et al and others".split())
 SHAPE = "rid long, tkeys array<int>, akeys array<int>, year int, vol int, page int, jkey int, look long, keys array<long>"
 WORD, PAIR, FOUR, AUTHOR, PLACE = (K.U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63))
+RUNS = ("words", "pairs", "fours")
 # Digests of runs are odd, all others even, so a join of keys can tell them apart.
 ODD, EVEN = K.U64(1), ~K.U64(1)
 SHARE, BEST = 0.15, 10.4  # support counts at most so much of the greatest score
@@ -111,7 +112,7 @@ def optional(values: list, hashed: bool = True) -> pd.array:
     return pd.arrays.IntegerArray(np.asarray(data, np.int32), empty)
 
 
-def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, rules: dict[str, str] | None = None, enough: int = ENOUGH) -> DataFrame:
+def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, rules: dict[str, str] | None = None, enough: int = ENOUGH, apart: bool = False) -> DataFrame:
     """Digests of the attributes of every record (id, title, authors, year, journal, vol, page).
 
     Titles are brought to the consistent form of ``rules``; their words are lower-cased
@@ -119,7 +120,8 @@ def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, ru
     keys to look up: title words that are not common; with fewer than ENOUGH of them also pairs
     of neighbouring words, and with fewer than ENOUGH of both also runs of four. Publications
     are asked for all. An author's key is dated; 0 stands for any year, 1 for a publication
-    without one.
+    without one. ``apart``: all words, pairs and runs of four of a title, common or not, repeats
+    kept, stand in columns of their own and not among the keys.
     """
     held = df.sparkSession.sparkContext.broadcast(common if common is not None else np.empty(0, K.U64))
 
@@ -133,11 +135,13 @@ def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, ru
         word = K.mix(h * WORD) & EVEN
         rare_words = ~known(frequent, word)
         have = np.bincount(doc[rare_words], minlength=n)
-        use = np.ones(len(h), bool) if publication else rare_words
+        use = np.ones(len(h), bool) if publication or apart else rare_words
         keys.append(word[use])
         owners.append(doc[use])
         for run, salt in ((2, PAIR), (4, FOUR)):
             if len(h) < run:
+                keys.append(np.empty(0, K.U64))
+                owners.append(np.empty(0, np.int64))
                 continue
             v = h[: len(h) - run + 1] * salt
             for j in range(1, run):
@@ -145,7 +149,7 @@ def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, ru
             v |= ODD
             d = doc[: len(v)]
             ok = d == doc[run - 1 :]
-            if not publication:
+            if not publication and not apart:
                 ok &= (have[d] < enough) & ~known(frequent, v)
                 have = have + np.bincount(d[ok], minlength=n)
             keys.append(v[ok])
@@ -189,6 +193,12 @@ def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, ru
             year = [year_of(y) for y in f["year"]]
             years = np.fromiter((y or 0 for y in year), np.int64, n)
             tkeys, keys, owners, look, empty = titles(f["title"].map(consistent), frequent)
+            runs = {}
+            if apart:
+                for c, k, o in zip(RUNS, keys, owners):
+                    first = np.argsort(o, kind="stable")
+                    runs[c] = np.split(k[first].view(np.int64), np.searchsorted(o[first], np.arange(1, n)))
+                keys, owners = [], []
             akeys, more, theirs = people(f["authors"].map(lambda t: _plain(t) if t else ""), years)
             vol = [_volume(v) for v in f["vol"]]
             page = [m[1] if m else "" for m in (PAGE(x or "") for x in f["page"])]
@@ -202,10 +212,27 @@ def shape(df: DataFrame, publication: bool, common: np.ndarray | None = None, ru
             all_keys = lists(np.concatenate(keys).view(np.int64), np.concatenate(owners), n)
             yield pd.DataFrame({
                 "rid": f["id"].to_numpy(), "tkeys": tkeys, "akeys": akeys, "year": optional(year, False), "vol": optional(vol), "page": optional(page),
-                "jkey": optional([journal_key(j) for j in f["journal"]]), "look": pd.arrays.IntegerArray(look.view(np.int64), empty), "keys": all_keys,
+                "jkey": optional([journal_key(j) for j in f["journal"]]), "look": pd.arrays.IntegerArray(look.view(np.int64), empty), "keys": all_keys, **runs,
             })
 
-    return df.mapInPandas(run, SHAPE)
+    return df.mapInPandas(run, SHAPE + "".join(f", {c} array<long>" for c in RUNS if apart))
+
+
+def shape_by_join(df: DataFrame, common: DataFrame, rules: dict[str, str], enough: int = ENOUGH) -> DataFrame:
+    """What shape() makes of records, for common keys (a table: key) too many to send to tasks."""
+    # Records delivered twice share their id, so every row has a number.
+    rows = cut(shape(df, False, None, rules, apart=True).withColumn("row", F.monotonically_increasing_id()))
+    kind = lambda i: lambda k: F.struct(F.lit(i).alias("kind"), k.alias("key"))
+    kinds = F.concat(*[F.transform(c, kind(i)) for i, c in enumerate(RUNS)])
+    rare = rows.select("row", F.explode(kinds).alias("x")).select("row", "x.*").join(common, "key", "left_anti")
+    of = lambda i: F.collect_set(F.when(F.col("kind") == i, F.col("key")))
+    rare = rare.groupBy("row").agg(*[of(i).alias(f"_{c}") for i, c in enumerate(RUNS)], *[F.count_if(F.col("kind") == i).alias(f"n_{c}") for i, c in enumerate(RUNS[:2])])
+    x = rows.drop(*RUNS).join(rare, "row", "left")
+    none = F.array().cast("array<long>")
+    words = F.coalesce("n_words", F.lit(0))
+    both = words + F.when(words < enough, F.coalesce("n_pairs", F.lit(0))).otherwise(0)
+    keys = F.array_distinct(F.concat("keys", F.coalesce("_words", none), F.coalesce(F.when(words < enough, F.col("_pairs")), none), F.coalesce(F.when(both < enough, F.col("_fours")), none)))
+    return x.withColumn("keys", keys).select(*[c.split()[0] for c in SHAPE.split(", ")])
 
 
 def publication_shape(pubs: DataFrame, form: Consistent) -> DataFrame:
@@ -219,7 +246,7 @@ class Publications:
 
     A key is rare if fewer than ``most`` publications hold it, a run of words if fewer than
     ``most_runs``, at every size of the table, so no posting list grows with it. Up to ``held`` common keys are sent to the tasks that shape
-    records, which then leave them out; beyond that the join with the postings drops them.
+    records, which then leave them out; beyond that a join does the same, with equal results.
     """
 
     def __init__(self, pubs: DataFrame, form: Consistent, most: int = 40, most_runs: int = 10, held: int = 2_000_000) -> None:
@@ -231,7 +258,8 @@ class Publications:
         df = cut(each.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"))
         bound = F.when(F.col("key") % 2 == 0, most).otherwise(most_runs)
         common = df.where(F.col("df") >= bound).select("key")
-        rows = common.toLocalIterator() if common.count() <= held else ()
+        self.joined = common if common.count() > held else None
+        rows = common.toLocalIterator() if self.joined is None else ()
         self.common = np.sort(np.fromiter((r.key for r in rows), np.int64).view(K.U64))
         posts = each.join(df, "key", "left").where(F.coalesce("df", F.lit(1)) < bound)
         self.posts = cut(posts.select("key", "uber_id", F.log1p(total / F.coalesce("df", F.lit(1))).cast("float").alias("w")))
@@ -244,7 +272,7 @@ class Publications:
         record delivered twice may stand twice: its edges add up, its best one is kept. Raises
         if records still change their publication after ``rounds``.
         """
-        recs = cut(shape(records, False, self.common, self.form.rules))
+        recs = cut(shape(records, False, self.common, self.form.rules) if self.joined is None else shape_by_join(records, self.joined, self.form.rules))
         edges = recs.select("rid", F.explode("keys").alias("key")).join(self.posts, "key").groupBy("rid", "uber_id").agg(F.sum("w").alias("w"))
         # Meta-blocking: a record's heaviest edges (and ties of the last kept) that weigh at
         # least half as much as its heaviest.

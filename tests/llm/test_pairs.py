@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.llm import graph, lookalike, names, neardup
+from citeloom.llm import graph, linkage, lookalike, names, neardup
 
 
 def shingle_sets(texts, n=3):
@@ -172,3 +172,20 @@ def test_people_and_bodies(spark):
     assert e[7] == e[8] and e[9] == e[10] and e[11] == e[12] and e[9] != e[11]
     assert 13 not in e and 14 not in e
     assert names.same_entity_pairs(names.entities(df.limit(0), at=None)).count() == 0
+
+
+def test_records_look_up_the_same_keys_however_many_are_common(spark):
+    r = random.Random(5)
+    few, own = ["north", "river", "health", "cost", "of", "care"], [f"own{chr(97 + i)}" for i in range(20)]
+    titles = [" ".join(r.sample(few, 4) + r.sample(own, i % 3)) for i in range(90)]
+    pubs = spark.createDataFrame([(i, t, [], 2000, None, None, None, i) for i, t in enumerate(titles)], "uber_id long, title string, authors array<struct<lastname:string>>, pub_year int, journal_title string, journal_volume string, page_info string, modified long")
+    rows = [(i // 2 if i < 4 else i, t, "Smith J" if i % 5 else None, "2000", None, None, "7-9" if i % 4 == 0 else None) for i, t in enumerate([*titles, None, "", "north", "north north river"])]
+    records = spark.createDataFrame(rows, "id long, title string, authors string, year string, journal string, vol string, page string")
+    form = lookalike.fit((pubs, "title"))
+    sent, joined = (linkage.Publications(pubs, form, most=15, most_runs=4, held=h) for h in (2_000_000, 0))
+    assert len(sent.common) and joined.joined is not None
+    a = linkage.shape(records, False, sent.common, form.rules).collect()
+    b = linkage.shape_by_join(records, joined.joined, form.rules).collect()
+    plainly = lambda x: sorted(repr({k: sorted(v) if k == "keys" else v for k, v in row.asDict().items()}) for row in x)
+    assert plainly(a) == plainly(b)
+    assert sorted(sent.match(records).collect()) == sorted(joined.match(records).collect())
